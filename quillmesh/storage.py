@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 #: A side is broadcast by hand only up to this many bytes, measured before the broadcast.
 BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
 
+_WRITTEN: dict[str, set[str]] = {}
+
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The folder for checkpoints, which all executors share.
@@ -32,9 +35,37 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder and read back: survives lost executors."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` written as a table in the shared checkpoint folder and read back: survives lost executors.
+
+    A table is written once (a checkpoint computes its last stage twice), is read by column, and tells the
+    optimizer its size. It stays until ``drop_table``, or ``drop_tables`` of its session.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written._quillmesh_path = path
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, set()).add(path)
+    return written
+
+
+def drop_table(df: DataFrame) -> None:
+    """Deletes what ``cut_lineage`` wrote for ``df``, once nothing reads it any more."""
+    path = getattr(df, "_quillmesh_path", None)
+    if path is not None:
+        _delete(df.sparkSession, path)
+        _WRITTEN.get(df.sparkSession.sparkContext.applicationId, set()).discard(path)
+
+
+def drop_tables(spark: SparkSession) -> None:
+    """Deletes all that ``cut_lineage`` wrote in this application."""
+    for path in _WRITTEN.pop(spark.sparkContext.applicationId, set()):
+        _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def pick(df: DataFrame, **columns: str) -> DataFrame:
