@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from quillmesh.functions.urls import repository_name
 from quillmesh.llm.groups import connected_groups
+from quillmesh.llm.mixing import Mix, mix_sources
 from quillmesh.llm.survivors import survivor_cards
 from quillmesh.llm.together import items_together
+from quillmesh.llm.tokens import encode_corpus
 from quillmesh.llm.top_items import top_items
 from quillmesh.storage import pick
 from quillmesh.tables import table
@@ -152,5 +154,32 @@ SELECT category_id, leaf_rank, full_name FROM (
 WHERE leaf_rank <= 5
 """
 
-QUERIES = {"p1_found": p1_found, "p1_scores": p1_scores, "p3_found": p3_found, "p3_cards": p3_cards, "p4_found": p4_found, "p5_found": p5_found}
+# --- 6: encoding of the whole corpus
+
+
+def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return encode_corpus(table(spark, folder, "documents"), key="doc_id", text="text").withColumnRenamed("key", "doc_id")
+
+
+# --- 7: mixing sources to target weights
+
+
+def _mix(spark: SparkSession, folder: str) -> Mix:
+    return mix_sources(table(spark, folder, "documents"), table(spark, folder, "mix_target"))
+
+
+def p7_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """Every use of a document, with the slot of its block."""
+    return _mix(spark, folder).rows
+
+
+def p7_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """The shares really reached, per source of the target."""
+    return _mix(spark, folder).shares
+
+
+QUERIES = {
+    "p1_found": p1_found, "p1_scores": p1_scores, "p3_found": p3_found, "p3_cards": p3_cards, "p4_found": p4_found, "p5_found": p5_found,
+    "p6_ids": p6_ids, "p7_mix": p7_mix, "p7_shares": p7_shares,
+}
 ORACLE_SQL = {"p1_found": P1_FOUND, "p1_scores": P1_SCORES, "p3_found": P3_FOUND, "p4_found": P4_FOUND, "p5_found": P5_FOUND}
