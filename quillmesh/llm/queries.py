@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quillmesh.functions.urls import repository_name
 from quillmesh.llm.groups import connected_groups
 from quillmesh.llm.mixing import Mix, mix_sources
+from quillmesh.llm.sentences import split_sentences
 from quillmesh.llm.survivors import survivor_cards
 from quillmesh.llm.together import items_together
 from quillmesh.llm.tokens import encode_corpus
@@ -178,8 +179,15 @@ def p7_shares(spark: SparkSession, folder: str) -> DataFrame:
     return _mix(spark, folder).shares
 
 
+# --- 8: sentence boundaries across languages and scripts
+
+
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    return split_sentences(table(spark, folder, "documents"), key="doc_id", text="text").withColumnRenamed("key", "doc_id")
+
+
 QUERIES = {
     "p1_found": p1_found, "p1_scores": p1_scores, "p3_found": p3_found, "p3_cards": p3_cards, "p4_found": p4_found, "p5_found": p5_found,
-    "p6_ids": p6_ids, "p7_mix": p7_mix, "p7_shares": p7_shares,
+    "p6_ids": p6_ids, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found,
 }
 ORACLE_SQL = {"p1_found": P1_FOUND, "p1_scores": P1_SCORES, "p3_found": P3_FOUND, "p4_found": P4_FOUND, "p5_found": P5_FOUND}
