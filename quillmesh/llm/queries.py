@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quillmesh.functions.urls import repository_name
 from quillmesh.llm.groups import connected_groups
 from quillmesh.llm.mixing import Mix, mix_sources
+from quillmesh.llm.names import link_names, pairs_within
 from quillmesh.llm.sentences import split_sentences
 from quillmesh.llm.survivors import survivor_cards
 from quillmesh.llm.together import items_together
@@ -73,6 +74,13 @@ SELECT target_a, target_b, together, round(lift, 4) AS lift, round(2 * (
 FROM found
 """
 
+# --- 2: variant spellings of names
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return pairs_within(link_names(table(spark, folder, "person"))).select(F.col("a").alias("person_a"), F.col("b").alias("person_b"))
+
+
 # --- 3: best representative of each duplicate group
 
 
@@ -187,7 +195,7 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
-    "p1_found": p1_found, "p1_scores": p1_scores, "p3_found": p3_found, "p3_cards": p3_cards, "p4_found": p4_found, "p5_found": p5_found,
+    "p1_found": p1_found, "p1_scores": p1_scores, "p2_found": p2_found, "p3_found": p3_found, "p3_cards": p3_cards, "p4_found": p4_found, "p5_found": p5_found,
     "p6_ids": p6_ids, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found,
 }
 ORACLE_SQL = {"p1_found": P1_FOUND, "p1_scores": P1_SCORES, "p3_found": P3_FOUND, "p4_found": P4_FOUND, "p5_found": P5_FOUND}
