@@ -247,7 +247,7 @@ class Splitter:
         if corpus_periods >= 20 and 10 * corpus_on < corpus_periods and corpus_on < self.lexicon.plain.get(word, 0) + corpus_periods // 20:
             return False  # the corpus is clear about it
         on, periods, plain = self.own()[0].get(word, (0, 0, 0))
-        if plain == 0 and on and on == periods and 2 * corpus_on >= corpus_periods:
+        if plain == 0 and on and 2 * on >= periods and 2 * corpus_on >= corpus_periods:
             return True
         if plain > on:
             return False
