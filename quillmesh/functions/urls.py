@@ -17,3 +17,30 @@ def repository_name(text: Column) -> Column:
     s = F.regexp_replace(s, r"[?#].*$", "")
     s = F.regexp_replace(s, r"(?:\.git|[/.,;)>\s])+$", "")
     return F.when(s.rlike(r"^[^/\s:@]+/[^/\s]+"), F.regexp_extract(s, r"^([^/\s]+/[^/\s]+)", 1))
+
+
+def clean_url(text: Column) -> Column:
+    """Trimmed, without angle brackets, closing punctuation and ``git+``."""
+    s = F.regexp_replace(F.trim(text), r"^<+|>+$", "")
+    return F.regexp_replace(F.regexp_replace(s, r"[).,;]+$", ""), r"^git\+", "")
+
+
+def normalized_repository_url(text: Column) -> Column:
+    """``https://host/owner/name`` in lower case, without ``www.`` and ``.git``; null without two path segments or with blanks."""
+    s = clean_url(text)
+    s = F.when(s.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*://"), s).otherwise(F.concat(F.lit("https://"), s))
+    host = F.regexp_replace(F.lower(F.regexp_extract(s, r"^[^:]+://([^/?#]*)", 1)), r"^www\.", "")
+    path = F.lower(F.regexp_extract(s, r"^[^:]+://[^/?#]*/+([^?#]*)", 1))
+    who, name = F.regexp_extract(path, r"^([^/]+)/+", 1), F.regexp_replace(F.regexp_extract(path, r"^[^/]+/+([^/]+)", 1), r"\.git$", "")
+    ok = (host != "") & (who != "") & (name != "") & ~s.rlike(r"\s")
+    return F.when(ok, F.concat(F.lit("https://"), host, F.lit("/"), who, F.lit("/"), name))
+
+
+def provisional_id(url: Column) -> Column:
+    return F.concat(F.lit("provisional:"), F.sha2(url, 256))
+
+
+def repository_from_url(text: Column) -> Column:
+    """``owner/name`` after ``github.com/`` or ``github.com:`` in lower case, without ``.git``; null where there is none."""
+    s = F.regexp_extract(F.lower(text), r"github\.com[/:]([^/\s]+/[^/\s?#]+)", 1)
+    return F.when(s != "", F.regexp_replace(s, r"\.git$", ""))
