@@ -28,8 +28,8 @@ def claims(people: DataFrame, identifiers: DataFrame | None, *, person: str, nam
     """Proposed matches (person_a < person_b, method, confidence), the strongest for each pair; never a merge.
 
     .98 for a shared identifier; for a shared plain name .90 where years of both are known and agree, .55 where not, of
-    different origins; .45 for surname (4 letters or more) and initial, of different origins, years agreeing. Readings of
-    equal name, years and origin are compared once, then given back to their people.
+    different origins; .45 for surname (4 letters or more) and initial, of different origins, years agreeing. The pairs are
+    the result, so it grows with the square of a group of equal names; equi-joins on the name, split by AQE where skewed.
     """
     parts = surname_and_given(F.col(name))
     rows = people.select(
