@@ -6,6 +6,7 @@ import re
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Names that are no person's.
 NO_PERSON = ("anonymous", "unknown", "various")
@@ -41,7 +42,10 @@ def author_parts(raw: str | None) -> dict | None:
     return {"name": name, "birth": birth, "death": death, "role": role, "corporate": int(corporate)}
 
 
-@F.pandas_udf("name string, birth int, death int, role string, corporate int")
+_PARTS = T.StructType().add("name", "string").add("birth", "integer").add("death", "integer").add("role", "string").add("corporate", "integer")
+
+
+@F.pandas_udf(_PARTS)
 def parsed_author(raw: pd.Series) -> pd.DataFrame:
     """``author_parts`` as a struct; all fields null for an empty string."""
     empty = {"name": None, "birth": None, "death": None, "role": None, "corporate": None}

@@ -10,10 +10,14 @@ from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import functions as F
-
-SCHEMA = (
-    "surface_kind string, pkg_name string, exports array<string>, bin array<string>, entry_points array<string>, public_names array<string>, "
-    "runtime array<string>, peer array<string>, requires_python string, engine string, install string, monorepo boolean, errors array<string>"
+from pyspark.sql import types as T
+
+_TEXTS = T.ArrayType(T.StringType())
+SCHEMA = T.StructType(
+    [T.StructField(n, T.StringType()) for n in ("surface_kind", "pkg_name")]
+    + [T.StructField(n, _TEXTS) for n in ("exports", "bin", "entry_points", "public_names", "runtime", "peer")]
+    + [T.StructField(n, T.StringType()) for n in ("requires_python", "engine", "install")]
+    + [T.StructField("monorepo", T.BooleanType()), T.StructField("errors", _TEXTS)]
 )
 EMPTY = {
     "surface_kind": "none", "pkg_name": "", "exports": [], "bin": [], "entry_points": [], "public_names": [], "runtime": [], "peer": [],

@@ -111,7 +111,7 @@ def packed_in_order(df: DataFrame, within: list[str], order: list[Column], size:
     """
     w = Window.partitionBy(*within).orderBy(*order)
     rows = df.withColumn("_i", F.row_number().over(w))
-    schema = rows.schema.add("asset", "int").add("offset", "long")
+    schema = rows.schema.add("asset", "integer").add("offset", "long")
 
     def pack(pdf):
         pdf = pdf.sort_values("_i")
