@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillmesh.storage import cut_lineage
 
@@ -111,7 +112,7 @@ def packed_in_order(df: DataFrame, within: list[str], order: list[Column], size:
     """
     w = Window.partitionBy(*within).orderBy(*order)
     rows = df.withColumn("_i", F.row_number().over(w))
-    schema = rows.schema.add("asset", "integer").add("offset", "long")
+    schema = T.StructType([*rows.schema.fields, T.StructField("asset", T.IntegerType()), T.StructField("offset", T.LongType())])
 
     def pack(pdf):
         pdf = pdf.sort_values("_i")

@@ -70,10 +70,12 @@ def read_harvest_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def read_rounds(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """Lines of the append-only log with their file and ordinal, and the number of malformed lines per file."""
-    lines = spark.read.schema(f"{schema}, _corrupt_record string").option("mode", "PERMISSIVE").json(path)
-    lines = lines.select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("ordinal"))
-    bad = lines.groupBy("file").agg(F.count("_corrupt_record").alias("malformed"))
-    return lines.filter("_corrupt_record is null").drop("_corrupt_record"), bad
+    text = spark.read.text(path).filter(F.trim("value") != "")
+    parsed = F.from_json("value", f"{schema}, _corrupt_record string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    lines = text.select(parsed.alias("line"), F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("ordinal"))
+    bad = lines.groupBy("file").agg(F.count("line._corrupt_record").alias("malformed"))
+    good = lines.filter("line._corrupt_record is null").select("line.*", "file", "ordinal").drop("_corrupt_record")
+    return good, bad
 
 
 def recorded(df: DataFrame, source: str, kind: str) -> DataFrame:
