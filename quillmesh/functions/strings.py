@@ -58,8 +58,14 @@ def plain_name(text: Column) -> Column:
 
 
 def surname_and_given(text: Column) -> Column:
-    """struct(surname, given) of ``plain_name``: around the comma, or the last word and those before it."""
-    n = plain_name(text)
+    """struct(surname, given) of ``plain_name``: around the comma, or the last word and those before it.
+
+    Over large tables make a column of ``plain_name`` first and use ``parts_of_plain_name``: the name is cleaned once then.
+    """
+    return parts_of_plain_name(plain_name(text))
+
+
+def parts_of_plain_name(n: Column) -> Column:
     words = F.split(n, " ")
     by_comma = F.struct(F.trim(F.substring_index(n, ",", 1)).alias("surname"), F.trim(F.regexp_replace(n, r"^[^,]*,", "")).alias("given"))
     by_order = F.struct(F.element_at(words, -1).alias("surname"), F.array_join(F.slice(words, 1, F.size(words) - 1), " ").alias("given"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillmesh.storage import cut_lineage
+
 
 def weighted_mean(df: DataFrame, inner: list[str], outer: list[str], value: str) -> DataFrame:
     """The mean of ``value`` per ``outer``, rolled up from means per ``inner`` by their number of rows."""
@@ -42,12 +44,13 @@ def tree_closure(tree: DataFrame, *, node: str, parent: str, most_levels: int =
 
     One join per level; a tree deeper than ``most_levels``, or a circle, raises.
     """
+    tree = cut_lineage(tree.select(node, parent))
     known = tree.select(F.col(node).alias("_n"))
-    up = tree.join(known.withColumnRenamed("_n", parent), parent).select(F.col(node).alias("ancestor"), F.col(parent).alias("_up"))
+    up = cut_lineage(tree.join(known.withColumnRenamed("_n", parent), parent).select(F.col(node).alias("ancestor"), F.col(parent).alias("_up")))
     level = tree.select(F.col(node).alias("ancestor"), F.col(node).alias("node"))
     closure = level
     for _ in range(most_levels):
-        level = level.join(up, "ancestor").select(F.col("_up").alias("ancestor"), "node")
+        level = cut_lineage(level.join(up, "ancestor").select(F.col("_up").alias("ancestor"), "node"))
         if level.isEmpty():
             return closure
         closure = closure.union(level)

@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmesh.functions.numbers import repeated_confidence
-from quillmesh.functions.strings import plain_name, surname_and_given
+from quillmesh.functions.strings import parts_of_plain_name, plain_name
 from quillmesh.operators.joins import within_tolerance
 from quillmesh.operators.policies import one_per_key
+from quillmesh.storage import cut_lineage
 
 
 def identities(sightings: DataFrame, *, identity: str, unique: list[str], at: str, order: list[Column]) -> DataFrame:
@@ -31,11 +32,9 @@ def claims(people: DataFrame, identifiers: DataFrame | None, *, person: str, nam
     different origins; .45 for surname (4 letters or more) and initial, of different origins, years agreeing. The pairs are
     the result, so it grows with the square of a group of equal names; equi-joins on the name, split by AQE where skewed.
     """
-    parts = surname_and_given(F.col(name))
-    rows = people.select(
-        F.col(person).alias("p"), F.col(birth).alias("b"), F.col(death).alias("d"), F.col(origin).alias("o"), plain_name(F.col(name)).alias("n"),
-        parts["surname"].alias("s"), F.substring(parts["given"], 1, 1).alias("i"),
-    )
+    rows = people.select(F.col(person).alias("p"), F.col(birth).alias("b"), F.col(death).alias("d"), F.col(origin).alias("o"), plain_name(F.col(name)).alias("n"))
+    rows = rows.withColumn("_parts", parts_of_plain_name(F.col("n")))
+    rows = cut_lineage(rows.select("p", "b", "d", "o", "n", F.col("_parts.surname").alias("s"), F.substring("_parts.given", 1, 1).alias("i")))
     a, c = rows.alias("a"), rows.alias("c")
     agree = within_tolerance(F.col("a.b"), F.col("c.b"), tolerance) & within_tolerance(F.col("a.d"), F.col("c.d"), tolerance)
     ordered = (F.col("a.p") < F.col("c.p")) & agree

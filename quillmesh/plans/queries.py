@@ -226,8 +226,8 @@ FROM n WHERE observed_url IS NOT NULL""")
 def addresses(spark: SparkSession, folder: str) -> DataFrame:
     """Addresses cleaned, normalised and hashed."""
     rows = table(spark, folder, "repo_observation").select("observed_url").distinct().filter("observed_url is not null")
-    normalized = urls.normalized_repository_url(F.col("observed_url"))
-    return rows.select("observed_url", normalized.alias("normalized"), urls.provisional_id(normalized).alias("canonical"), urls.repository_from_url(F.col("observed_url")).alias("repository"))
+    rows = rows.withColumn("normalized", urls.normalized_repository_url(F.col("observed_url")))
+    return rows.select("observed_url", "normalized", urls.provisional_id(F.col("normalized")).alias("canonical"), urls.repository_from_url(F.col("observed_url")).alias("repository"))
 
 
 @query("plain_names", """
@@ -237,9 +237,9 @@ p AS (SELECT name, trim(regexp_replace(regexp_replace(regexp_replace(regexp_repl
 SELECT name, plain, CASE WHEN contains(plain, ',') THEN trim(split_part(plain, ',', 1)) WHEN contains(plain, ' ') THEN regexp_extract(plain, '([^ ]+)$', 1) ELSE plain END AS surname,
     CASE WHEN contains(plain, ',') THEN trim(regexp_replace(plain, '^[^,]*,', '')) WHEN contains(plain, ' ') THEN regexp_extract(plain, '^(.*) [^ ]+$', 1) ELSE '' END AS given FROM p""")
 def plain_names(spark: SparkSession, folder: str) -> DataFrame:
-    parts = strings.surname_and_given(F.col("name"))
-    rows = table(spark, folder, "person").select("name").distinct().filter("name is not null")
-    return rows.select("name", strings.plain_name(F.col("name")).alias("plain"), parts["surname"].alias("surname"), parts["given"].alias("given"))
+    parts = strings.parts_of_plain_name(F.col("plain"))
+    rows = table(spark, folder, "person").select("name").distinct().filter("name is not null").withColumn("plain", strings.plain_name(F.col("name")))
+    return rows.select("name", "plain", parts["surname"].alias("surname"), parts["given"].alias("given"))
 
 
 @query("topic_slugs", """
@@ -590,8 +590,9 @@ def _term_sql(column: str, term: str) -> str:
 def family_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Weighted terms of families in whole texts."""
     docs = table(spark, folder, "documents")
-    scores = keywords.family_scores(keywords.haystack(F.col("text")), FAMILIES)
-    return docs.select("doc_id", F.explode(scores).alias("s")).select("doc_id", "s.family", "s.score")
+    scored = keywords.with_family_scores(docs.select("doc_id", "text"), keywords.haystack(F.col("text")), FAMILIES)
+    # explode_outer: a plain explode would have its filter on the array pushed below, where everything is computed again.
+    return scored.select("doc_id", F.explode_outer("family_scores").alias("s")).filter("s is not null").select("doc_id", "s.family", "s.score")
 
 
 def _route_sql() -> str:
