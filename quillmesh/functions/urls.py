@@ -12,11 +12,12 @@ def repository_name(text: Column) -> Column:
     Understands ``owner/name``, web and git addresses with or without ``git+``, scheme, user, ``www.``,
     query, fragment, ``.git`` and closing slash, and drops white space and punctuation around them.
     """
+    plain = text.rlike(r"^[a-z0-9_-]+/[a-z0-9_-]+$")  # most are: they need none of the replacements
     s = F.lower(F.regexp_replace(text, r"^[\s <(\[\"']+|[\s >)\]\"',;.]+$", ""))
     s = F.regexp_replace(s, r"^(?:git\+)?(?:[a-z][a-z0-9+.-]*://)?(?:[^/@\s]+@)?(?:www\.)?github\.com[/:]+", "")
     s = F.regexp_replace(s, r"[?#].*$", "")
     s = F.regexp_replace(s, r"(?:\.git|[/.,;)>\s])+$", "")
-    return F.when(s.rlike(r"^[^/\s:@]+/[^/\s]+"), F.regexp_extract(s, r"^([^/\s]+/[^/\s]+)", 1))
+    return F.when(plain, text).when(s.rlike(r"^[^/\s:@]+/[^/\s]+"), F.regexp_extract(s, r"^([^/\s]+/[^/\s]+)", 1))
 
 
 def clean_url(text: Column) -> Column:
@@ -27,13 +28,9 @@ def clean_url(text: Column) -> Column:
 
 def normalized_repository_url(text: Column) -> Column:
     """``https://host/owner/name`` in lower case, without ``www.`` and ``.git``; null without two path segments or with blanks."""
-    s = clean_url(text)
-    s = F.when(s.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*://"), s).otherwise(F.concat(F.lit("https://"), s))
-    host = F.regexp_replace(F.lower(F.regexp_extract(s, r"^[^:]+://([^/?#]*)", 1)), r"^www\.", "")
-    path = F.lower(F.regexp_extract(s, r"^[^:]+://[^/?#]*/+([^?#]*)", 1))
-    who, name = F.regexp_extract(path, r"^([^/]+)/+", 1), F.regexp_replace(F.regexp_extract(path, r"^[^/]+/+([^/]+)", 1), r"\.git$", "")
-    ok = (host != "") & (who != "") & (name != "") & ~s.rlike(r"\s")
-    return F.when(ok, F.concat(F.lit("https://"), host, F.lit("/"), who, F.lit("/"), name))
+    shape = r"^(?:[a-z][a-z0-9+.-]*://)?(?:www\.)?([^/?#\s:]+(?::\d+)?)/+([^/?#\s]+)/+([^/?#\s]+?)(?:\.git)?(?:[/?#]\S*)?$"
+    made = F.regexp_replace(F.lower(clean_url(text)), shape, "https://$1/$2/$3")
+    return F.when(made.rlike(r"^https://[^/?#\s]+/[^/?#\s]+/[^/?#\s]+$"), made)
 
 
 def provisional_id(url: Column) -> Column:
