@@ -19,6 +19,21 @@ def test_passages_lie_in_order_and_are_bounded(parts):
         at = row["end"]
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.text("ab. \t", max_size=900), st.sampled_from(["\n\n", "\r\n\r\n", "\n \n", "\n", ""])), max_size=8))
+def test_passages_cover_all_but_white_space(parts):
+    text = "".join(a + b for a, b in parts)
+    got = "".join(text[row["start"] : row["end"]] for row in passages_of(text))
+    assert "".join(got.split()) == "".join(text.split())
+
+
+def test_passages_behind_the_last_blank_line():
+    assert [(r["start"], r["end"]) for r in passages_of("No blank line at all.")] == [(0, 21)]
+    long = "Sentence. " * 40
+    assert [(r["start"], r["end"]) for r in passages_of(f"{long}\n\nTail\n")] == [(0, 400), (402, 407)]
+    assert [(r["start"], r["end"]) for r in passages_of("Head\n\nTail")] == [(0, 10)]
+
+
 def test_passages_of_a_book(spark):
     body = "CHAPTER I. One\r\n\r\n" + "A sentence. " * 40 + "\r\n\r\n" + "Short.\r\n\r\n" + "LETTER 2 to him\r\n\r\n" + "B sentence. " * 260 + "\r\n\r\n"
     text = f"licence *** START OF THIS PROJECT GUTENBERG EBOOK X ***\r\n\r\n{body}*** END OF THIS PROJECT GUTENBERG EBOOK X *** licence"
