@@ -51,13 +51,15 @@ def _peel(links: DataFrame) -> tuple[DataFrame, DataFrame, bool, Column] | None:
             break
         reached = cut_lineage(reached.union(frontier))
     if closed:
-        return reached, links.join(reached.select(F.col("id").alias("low")), "low", "left_anti"), True, start
+        return reached, cut_lineage(links.join(reached.select(F.col("id").alias("low")), "low", "left_anti")), True, start
     # The rounds ran out: what was reached shrinks to the hub, from which the links to the rest then start.
     low = reached.select(F.col("id").alias("low"), F.lit(True).alias("low_in"))
     high = reached.select(F.col("id").alias("high"), F.lit(True).alias("high_in"))
     rest = links.join(low, "low", "left").join(high, "high", "left").filter("low_in is null or high_in is null")
     ends = [F.when(F.col(f"{x}_in"), start).otherwise(F.col(x)).alias(y) for x, y in (("low", "a"), ("high", "b"))]
-    return reached, _undirected(rest.select(*ends)), False, start
+    rest = cut_lineage(_undirected(rest.select(*ends)))
+    # The last round may have reached the end of the component: then no link of the rest touches the hub.
+    return reached, rest, rest.filter((F.col("low") == start) | (F.col("high") == start)).isEmpty(), start
 
 
 def _propagate(links: DataFrame) -> DataFrame | None:
@@ -103,7 +105,7 @@ def connected_groups(df: DataFrame, *, a: str, b: str) -> DataFrame:
     if peeled is None:
         return links.select(F.col("low").alias("vertex"), F.col("low").alias("group_id"))
     giant, rest, closed, hub = peeled
-    final = _propagate(cut_lineage(rest))
+    final = _propagate(rest)
     if final is None:
         return _labelled(giant)
     final = cut_lineage(final)
