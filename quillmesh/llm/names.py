@@ -301,8 +301,7 @@ def keys_of(text: str, words: Words) -> list[str]:
         return sorted(keys)
     for form in forms:
         keys.add("o:" + "|".join(sorted(skeleton(w) for w in form)))
-        proper = [w for w in form if w not in words.common]
-        for word in proper[:2]:
+        for word in set(form):  # also the common ones: a mistyped one isn't common
             rest = list(form)
             rest.remove(word)
             keys.update("o:" + "|".join([*rest, code]) for code in without_one_consonant(word))

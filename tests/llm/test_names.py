@@ -91,6 +91,20 @@ def test_bodies_that_share_words_stay_apart(a, b):
     assert not agree(body(*a), body(*b), WORDS)
 
 
+@pytest.mark.parametrize(
+    "a,b",
+    [
+        ("Zephyr Alder Birch Institute", "Zepfyr Alder Birch Institute"),  # the last uncommon word in order of letters, the first of the name
+        ("Alder Birch Cedar Institute", "Alder Birch Gedar Institute"),
+        ("Alder Birch Cedar Dogwood Institute", "Alder Birch Cedar Dogwoot Institute"),
+        ("Alder Institute", "Alder Institude"),
+    ],
+)
+def test_a_typing_error_in_any_word_of_a_body_shares_a_block(a, b):
+    x, y = body(a), body(b)
+    assert agree(x, y, WORDS) and set(keys_of(x, WORDS)) & set(keys_of(y, WORDS))
+
+
 def test_nothing_to_read():
     assert [human(x) for x in (None, "", "  ", "?", "ab")] == [None] * 5
     assert [body(x) for x in (None, "", "MDI", "the")] == [None] * 4
