@@ -64,7 +64,9 @@ OPENERS = {"(": ")", "[": "]", "（": "）", "［": "］", "“": "”", "„":
 CLOSERS = frozenset("".join(OPENERS.values()) + "\"'’”)]}»›」』】》〉）］")
 QUOTES = frozenset("\"“”„«»‹›「」『』〝〞〟")
 FULL_STOPS = "。！？｡．؟۔।॥։။።፧᙮។៕"
-LONGEST_QUOTE = 1000
+#: Straight quotes that don't come out even in a paragraph enclose this many characters at most.
+LONGEST_DOUBTFUL = 1000
+BEFORE_CLOSER = frozenset(" \t\r\n  \"'’”»」』)）]")
 
 TERMINATOR = regex.compile(rf"[.!?…‼⁇⁈⁉]+|[{FULL_STOPS}]+[{FULL_STOPS}…!?]*|[;;]")
 LINE_END = regex.compile(r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]")
@@ -183,7 +185,12 @@ def _ended(text: str) -> bool:
 
 
 def enclosed(text: str) -> list[tuple[int, int]]:
-    """Outermost quotations and brackets that are opened and closed, as (place of the opener, place of the closer)."""
+    """Outermost quotations and brackets that are opened and closed, as (place of the opener, place of the closer).
+
+    They may be of any length. Only where straight quotes don't come out even, so that one of them is unclosed
+    and the pairs may be crossed, or where the closer looks like an opener, long pairs of them don't count.
+    """
+    straight = 0  # quotes opened less quotes closed
     found: list[tuple[int, int]] = []
     stack: list[tuple[str, int]] = []
     for m in ENCLOSING.finditer(text):
@@ -192,11 +199,13 @@ def enclosed(text: str) -> list[tuple[int, int]]:
             opened = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == '"'), None)
             if opened is not None:
                 found.append((stack[opened][1], i))
+                straight -= 1
                 del stack[opened:]
             else:
                 before = text[i - 1 : i]
                 if not before or before.isspace() or before in OPENERS or before in "—–-.!?…:;,。，：！？" or NO_BLANK_SCRIPT.match(before):
                     stack.append((c, i))
+                    straight += 1
             continue
         closes = next((k for k in range(len(stack) - 1, -1, -1) if c in OPENERS.get(stack[k][0], "")), None)
         if closes is not None:
@@ -204,7 +213,7 @@ def enclosed(text: str) -> list[tuple[int, int]]:
             del stack[closes:]
         elif c in OPENERS:
             stack.append((c, i))
-    found = sorted(x for x in found if x[1] - x[0] <= LONGEST_QUOTE)
+    found = sorted((a, b) for a, b in found if text[a] != '"' or b - a <= LONGEST_DOUBTFUL or (not straight and not (text[b - 1].isspace() and text[b + 1 : b + 2].isalnum())))
     outer: list[tuple[int, int]] = []
     for a, b in found:
         if not outer or a > outer[-1][1]:
@@ -212,6 +221,13 @@ def enclosed(text: str) -> list[tuple[int, int]]:
     return outer
 
 
+def _content_end(text: str, a: int, b: int) -> int:
+    """Where what stands between text[a] and text[b] ends, without blanks and closers at its end."""
+    while b > a + 1 and text[b - 1] in BEFORE_CLOSER:
+        b -= 1
+    return b
+
+
 class Splitter:
     """Cuts the paragraphs of one document."""
 
@@ -400,6 +416,7 @@ class Splitter:
             skip = m.end() if m else 0
         inside = enclosed(p)
         opens = {a for a, _ in inside}
+        tails = [_content_end(p, a, b) for a, b in inside]
         k, sentence = 0, 0
         cuts: list[int] = []
         at = skip
@@ -412,7 +429,7 @@ class Splitter:
                 a, b = inside[k]
                 if m.group() in ";;" and not GREEK.match(p[i - 1 : i]):
                     continue
-                if p[j:b].strip(" \t\r\n  \"'’”»」』)）]"):
+                if j < tails[k]:
                     continue
                 if p[a] in "([（［【" and self.abbreviation_at(p, i, m.group()):
                     continue

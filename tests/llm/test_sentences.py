@@ -70,6 +70,22 @@ def test_layout():
     ]
 
 
+@pytest.mark.parametrize("opened,closed", ['""', "“”", "«»", "「」", "()"])
+def test_long_quotation_is_one_sentence(opened, closed):
+    quoted = f"{opened}{'We went to the harbour. It was quiet. ' * 200}The end.{closed}"
+    assert cut(f"It began. He said {quoted} and left. It was over.") == ["It began.", f"He said {quoted} and left.", "It was over."]
+
+
+def test_unclosed_quote_encloses_nothing_long():
+    text = 'He said "Stop there. ' + "We went on. " * 200 + 'She said "Yes." and left. It was over.'
+    assert len(cut(text)) > 200
+    assert len(cut(text.replace("It was over.", 'He said "No more. It was over.'))) > 200
+
+
+def test_long_quotations_take_time_in_proportion():
+    assert len(cut("“" + "The word is here. " * 50_000 + "”")) == 1
+
+
 def test_document_decides_about_an_abbreviation():
     assert cut("We kept the Zog. of the house and the zog. of the barn. He saw the zog. Marala stood there.") == [
         "We kept the Zog. of the house and the zog. of the barn.", "He saw the zog. Marala stood there.",
