@@ -73,6 +73,13 @@ def test_entries_under_headings(spark):
     assert df.select(lists.digest(F.col("text"), words=3, size=9)).first()[0] == "# Awesome"
 
 
+def test_exported_stars_are_found_behind_a_long_preface(spark):
+    text = "x " * 3000 + "\n# Awesome Stars\n## Tools\n" + "".join(f"- [r{i}](https://github.com/o/r{i}) - Tool.\n" for i in range(5))
+    df = spark.createDataFrame([(1, text), (2, text.replace("Awesome Stars", "Awesome Tools"))], "id long, text string")
+    verdicts = lists.list_verdicts(df, lists.list_entries(df, key="id", text="text"), key="id", text="text", languages=["Go"], min_links=3)
+    assert {r["key"]: (r["exported"], r["is_list"]) for r in verdicts.collect()} == {1: (True, False), 2: (False, True)}
+
+
 @pytest.mark.parametrize(
     "path,text,expected",
     [
