@@ -1,25 +1,29 @@
 """Sentence boundaries across languages and scripts, as places in the text.
 
 Method: document-centred disambiguation. A period after a word is ambiguous; what the word is - an
-abbreviation, a common word, a name - is taken from its unambiguous occurrences elsewhere in the document,
-then from those in the corpus, then from short lists of abbreviations. Terminators are those of the script:
-full stops of Chinese and Japanese, Devanagari, Arabic, Urdu, Armenian, Burmese and Ethiopic text are clear by
-themselves, the Greek question mark is a semicolon, Thai and Lao end sentences with a blank between letters.
+abbreviation or an ordinary word - and whether the capitalised word behind it is a name or begins a sentence is
+taken from their unambiguous occurrences elsewhere in the document: a period that a small letter or a comma
+follows, the word without period, the same word in small letters, a capital in the midst of a sentence. Where
+the document says nothing the corpus does, and where it doesn't either, short lists of abbreviations.
+Terminators are those of the script: full stops of Chinese and Japanese, Devanagari, Arabic, Urdu, Armenian,
+Burmese and Ethiopic text are clear by themselves, the Greek question mark is a semicolon, Thai and Lao end
+sentences with a blank between letters.
 
 Layout comes first: blank lines end paragraphs; fenced code, headings and paragraphs without sentences are one
 unit each; list items start a unit. Within a paragraph nothing ends inside a quotation or a bracket, and a
-quotation and the clause that goes with it stay together.
+quotation and the clause that goes with it stay together, however long they are.
 
 Size: two passes over the texts, each row on its own. The first counts words in each task and adds the counts
 by word; words below a share of all words are left out of the lexicon, so it can't have more than 1 / share
-entries, however large the corpus, and is broadcast.
+entries, however large the corpus, and is broadcast. As a share the bound is the same at every size.
 """
 
 from __future__ import annotations
 
 import pickle
+import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import regex
@@ -30,42 +34,46 @@ from quillmesh.storage import cut_lineage, pick, spread
 
 #: A word (in one of its roles) must be this share of all words to enter the lexicon: at most 500,000 can.
 LEAST_SHARE = 2e-6
-#: Entries of a task's counter before it is sent on.
-COUNTER_SIZE = 200_000
-LONGEST_WORD = 24
-
-# Abbreviations that something always follows, in lower case without their last period.
+#: Up to this length a text is searched for a word before all of its words are counted: the result is the same.
+SHORT_TEXT = 1 << 16
+#: Characters whose words a task counts before it sends the counts on.
+COUNTED_CHARS = 1 << 24
+
+# Abbreviations in lower case without their last period, the last resort where neither document nor
+# corpus tells. Titles, which count with a capital:
+TITLES = frozenset("adm capt cmdr col fr gen gov hon hr lt m maj mgr mlle mme mr mrs ms mt mx rep res rev sen sgt sgog st ste".split())
+# References, which a number or a single letter follows:
+REFERENCES = frozenset(
+    "app art bd cap ch chap col fig figs jg kap lic min no nos nro nr núm núms op p pag par pg pl pp pág págs r ref sec sect tab tel vol vols "
+    "гл оз рис см стр ст табл тел σελ τηλ κεφ".split()
+)
+# Others that something always follows:
 CONTINUING = frozenset(
-    "adm al app approx aprox art avda bd bzgl bzw ca cap capt cf ch chap col cmdr dept doc dr dra drs e.g ed eds env evtl exc fig figs fr "
-    "geb gen gov hon hr i.e incl ing insb jg kap lic lt m maj mgr min mlle mme mr mrs ms mt mx nr no nos nro núm núms op "
-    "p pag par pg pl pp prof pág págs r ref rep res rev sec sect sen sgt sog sr sra sres srta st ste str tab tel "
-    "vgl viz vol vols vs z zzgl "
-    "гл др-р им илл напр обл оз пер пл проф рис св см ср стр ст табл тел тов ул "
-    "αρ βλ δηλ κ κα κεφ κος λ.χ π.χ περ πρβλ σελ τηλ χλμ "
-    "डॉ रु श्री सं".split()
+    "al approx aprox avda bzgl bzw ca cf dept doc dr dra drs e.g ed eds env evtl exc geb i.e incl ing insb prof prof r sog sr sra sres srta str "
+    "vgl viz vs z zzgl др-р им илл напр обл пер пл проф св ср тов ул αρ βλ δηλ κ κα κος λ.χ π.χ περ πρβλ χλμ डॉ रु श्री सं".split()
 )
-# Abbreviations that may also end a sentence.
+# Those that may also end a sentence:
 MAY_END = frozenset(
     "a.m p.m a.d b.c u.s u.k u.n u.s.a d.c etc inc ltd co corp llc bros jr esq ff f al usw uvm dgl gmbh ag s.a s.l ee.uu u.a z.b "
     "jan feb mar apr jun jul aug sep sept oct nov dec av ave blvd rd "
     "г гг в вв др пр т.д т.п т.е н.э руб коп тыс млн млрд ч кг км м "
     "κ.λπ κλπ π.μ μ.μ μ.χ π.χ".split()
 )
+# Those of them that a name may follow, as part of a longer name:
+BEFORE_NAMES = frozenset("u.s u.k u.n av ave blvd rd г в co jr".split())
 # What turns a number before a period into an ordinal, in lower case.
 BEFORE_ORDINAL = frozenset("am ab bis dem den der des die das im ihr ihren ihrer jedem jeden seit vom zum zur".split())
 # Verbs of speech that tie a clause to the quotation before it where there is no case to tell.
-HAN_SPEECH = regex.compile(r"^[^。！？…，；“”「」]{0,14}(?:说|問|问|道|答|喊|叫|写|表示|说道|回答)(?:着|了)?(?=[。！？…，]|$)")
-KANA_QUOTE = regex.compile(r"^(?:と|って|という|とは|などと|なんて)")
-HANGUL_QUOTE = regex.compile(r"^(?:이?라고|이?라며|이?라는|하고|하며|고 )")
-AND_THEN = regex.compile(r"^(?:और|तथा|तो|फिर|اور|پھر|و\p{Arabic}|و |ثم|ف\p{Arabic}{2})")
-SPEECH_AFTER_NAME = regex.compile(r"^(?:\p{Lu}[\p{L}.'’-]*\s+){1,3}(?:said|says|asked|asks|replied|added|answered)\b")
+HAN_SPEECH = regex.compile(r"[^。！？…，；“”「」]*?(?:说|問|问|道|答|喊|叫|写|表示|说道|回答)(?:着|了)?(?=[。！？…，]|$)")
+KANA_QUOTE = regex.compile(r"(?:と|って|という|とは|などと|なんて)")
+HANGUL_QUOTE = regex.compile(r"(?:이?라고|이?라며|이?라는|하고|하며|고 )")
+AND_THEN = regex.compile(r"(?:और|तथा|तो|फिर|اور|پھر|و\p{Arabic}|و |ثم|ف\p{Arabic}{2})")
+SPEECH_AFTER_NAME = regex.compile(r"(?:\p{Lu}[\p{L}.'’-]*\s+){1,3}(?:said|says|asked|asks|replied|added|answered)\b")
 
 OPENERS = {"(": ")", "[": "]", "（": "）", "［": "］", "“": "”", "„": "“”", "«": "»", "‹": "›", "「": "」", "『": "』", "【": "】", "《": "》", "〈": "〉", "〝": "〞〟"}
 CLOSERS = frozenset("".join(OPENERS.values()) + "\"'’”)]}»›」』】》〉）］")
 QUOTES = frozenset("\"“”„«»‹›「」『』〝〞〟")
 FULL_STOPS = "。！？｡．؟۔।॥։။።፧᙮។៕"
-#: Straight quotes that don't come out even in a paragraph enclose this many characters at most.
-LONGEST_DOUBTFUL = 1000
 BEFORE_CLOSER = frozenset(" \t\r\n  \"'’”»」』)）]")
 
 TERMINATOR = regex.compile(rf"[.!?…‼⁇⁈⁉]+|[{FULL_STOPS}]+[{FULL_STOPS}…!?]*|[;;]")
@@ -76,16 +84,23 @@ BULLET = regex.compile(r"\s*[-*+•‣◦▪·][ \t ]+\S")
 NUMBERED = regex.compile(r"\s*\(?(\d{1,4})[.)][ \t ]+\S")
 RULE = regex.compile(r"\s*([=\-*_~#+])(?:\s*\1){2,}\s*$")
 TABLE = regex.compile(r"\s*\|.*\|")
-CHAPTER = regex.compile(r"(?i)\s*(?:chapter|part|section|book|appendix|kapitel|abschnitt|teil|chapitre|partie|capítulo|parte|sección|глава|часть|раздел|κεφάλαιο|μέρος)\b.{0,80}$")
+CHAPTER = regex.compile(r"(?i)\s*(?:chapter|part|section|book|appendix|kapitel|abschnitt|teil|chapitre|partie|capítulo|parte|sección|глава|часть|раздел|κεφάλαιο|μέρος)\b.*$")
 WORD = regex.compile(r"[\p{L}\p{M}\p{N}][\p{L}\p{M}\p{N}'’\-]*(?:\.[\p{L}\p{M}\p{N}]+)*")
-WORD_BEFORE = regex.compile(r"[\p{L}\p{M}\p{N}'’.\-/_&+@:=#]*$")
+FOLLOWING = regex.compile(rf"[\"'“„«‹(\[¿¡`]*({WORD.pattern})")
+# Read backwards from a place: the run of characters of a word or address; the word before; a letter with its period.
+RUN_BEFORE = regex.compile(r"(?r)[\p{L}\p{M}\p{N}'’.\-/_&+@:=#]*")
+PREVIOUS = regex.compile(r"(?r)([\p{L}\p{M}\p{N}'’\-]+)[^\p{L}\p{M}\p{N}]*")
+LETTER_BEFORE = regex.compile(r"(?r)\b(\p{L})\.\s*")
+CAPITAL_BEFORE = regex.compile(r"(?r)\b(\p{Lu}|EE|UU)\.\s*")
+VISIBLE = regex.compile(r"\S")
+GOES_ON = regex.compile(r"\.(?:\s+[\p{Ll},;]|[,;])")
 UNCASED = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Hangul}\p{Arabic}\p{Devanagari}\p{Thai}\p{Lao}\p{Myanmar}\p{Ethiopic}\p{Hebrew}\p{Bengali}\p{Tamil}\p{Khmer}]")
 NO_BLANK_SCRIPT = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]")
 TO_LAST_LETTER = regex.compile(r"[\p{Thai}\p{Lao}](\s+)(?=[\p{Thai}\p{Lao}])")
-CODE_NAME = regex.compile(r"^[a-z][\w-]*/[\w.-]+|^[a-z]{1,3}[A-Z]|^[a-z][\w-]*\.[a-z]{1,4}\b|^`")
+CODE_NAME = regex.compile(r"[a-z][\w-]*/[\w.-]+|[a-z]{1,3}[A-Z]|[a-z][\w-]*\.[a-z]{1,4}\b|`")
 
 
-ENCLOSING = regex.compile(r"[()\[\]（）［］“”„«»‹›「」『』【】《》〈〉〝〞〟\"]")
+ENCLOSING = re.compile(r"[()\[\]（）［］“”„«»‹›「」『』【】《》〈〉〝〞〟\"]")
 GREEK = regex.compile(r"\p{Greek}")
 IN_ADDRESS = regex.compile(r"://|@|=|www\.")
 CAPITAL_START = regex.compile(r"[\p{Lu}][\p{Ll}'’]|[\p{Lu}]\s|\p{Lu}\.\s")
@@ -93,8 +108,7 @@ CAPITAL_WORD = regex.compile(r"\p{Lu}\p{Ll}*['’]?\p{L}*(?:\s|$)")
 LOW_WORD = regex.compile(r"[\p{L}\p{N}-]+(?:/[\p{L}\p{N}.-]+)?(?=\s)")
 ROMAN = regex.compile(r"[IVXLC]+")
 ABBREVIATING_SCRIPT = regex.compile(r"[\p{Arabic}\p{Hebrew}\p{Devanagari}]")
-LETTER_BEFORE = regex.compile(r"\b([\p{L}])\.\s*$")
-CAPITAL_BEFORE = regex.compile(r"\b([\p{Lu}]|EE|UU)\.\s*$")
+NUMBER_OR_LETTER = regex.compile(r"[#№]?\s?\p{N}|[A-Z]\b|[IVXLC]{2,}\b|\p{Lu}-?\p{N}")
 ITEM_MARKER = regex.compile(r"\s*(?:\(?\d{1,4}[.)]|[-*+•‣◦▪·])[ \t ]+")
 
 
@@ -111,6 +125,20 @@ class Lexicon:
         self.plain: dict[str, int] = plain or {}
         self.common: frozenset[str] = frozenset(common or ())
         self.starters: frozenset[str] = frozenset(starters or ())
+        self.going_on = frozenset(w for w, (on, n) in self.periods.items() if on > 2 and 2 * on > n)
+
+    def says(self, word: str) -> bool | None:
+        """Whether the corpus knows the word as an abbreviation (True), as an ordinary word (False), or not clearly."""
+        on, periods = self.periods.get(word, (0, 0))
+        plain = self.plain.get(word, 0) if word[:1].islower() else self.plain.get(word.lower(), 0)
+        if plain > 2 and plain > periods and 10 * on < plain:
+            return False
+        return True if word in self.going_on and on > plain else None
+
+    def ends_with_period(self, word: str) -> bool:
+        """Whether periods behind the word hardly ever stand within a sentence."""
+        on, periods = self.periods.get(word, (0, 0))
+        return periods >= 20 and 10 * on < periods
 
 
 def paragraphs(text: str) -> list[tuple[int, int, str]]:
@@ -133,8 +161,15 @@ def paragraphs(text: str) -> list[tuple[int, int, str]]:
     while i < len(lines):
         a, b, _ = lines[i]
         line = text[a:b]
-        if not line.strip():
+        visible = line.lstrip()[:1]
+        if not visible:
             close()
+        elif visible.isalpha():  # no mark of layout
+            if kind == "table":
+                close()
+            if not kind:
+                kind, start = "prose", a
+            end = b
         elif fence := FENCE.match(line):
             close()
             mark, j = fence.group(1), i + 1
@@ -187,25 +222,25 @@ def _ended(text: str) -> bool:
 def enclosed(text: str) -> list[tuple[int, int]]:
     """Outermost quotations and brackets that are opened and closed, as (place of the opener, place of the closer).
 
-    They may be of any length. Only where straight quotes don't come out even, so that one of them is unclosed
-    and the pairs may be crossed, or where the closer looks like an opener, long pairs of them don't count.
+    They may be of any length. A straight quote that can only open, while another is open, shows that the other
+    was never closed.
     """
-    straight = 0  # quotes opened less quotes closed
     found: list[tuple[int, int]] = []
     stack: list[tuple[str, int]] = []
     for m in ENCLOSING.finditer(text):
         c, i = m.group(), m.start()
         if c == '"':
+            before, after = text[i - 1 : i], text[i + 1 : i + 2]
+            apart = not before or before.isspace() or before in OPENERS
             opened = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == '"'), None)
-            if opened is not None:
+            if opened is not None and not (apart and (after.isalnum() or after in "¿¡")):
                 found.append((stack[opened][1], i))
-                straight -= 1
                 del stack[opened:]
-            else:
-                before = text[i - 1 : i]
-                if not before or before.isspace() or before in OPENERS or before in "—–-.!?…:;,。，：！？" or NO_BLANK_SCRIPT.match(before):
-                    stack.append((c, i))
-                    straight += 1
+            elif opened is not None:
+                del stack[opened:]
+                stack.append((c, i))
+            elif apart or before in "—–-.!?…:;,。，：！？" or NO_BLANK_SCRIPT.match(before):
+                stack.append((c, i))
             continue
         closes = next((k for k in range(len(stack) - 1, -1, -1) if c in OPENERS.get(stack[k][0], "")), None)
         if closes is not None:
@@ -213,9 +248,8 @@ def enclosed(text: str) -> list[tuple[int, int]]:
             del stack[closes:]
         elif c in OPENERS:
             stack.append((c, i))
-    found = sorted((a, b) for a, b in found if text[a] != '"' or b - a <= LONGEST_DOUBTFUL or (not straight and not (text[b - 1].isspace() and text[b + 1 : b + 2].isalnum())))
     outer: list[tuple[int, int]] = []
-    for a, b in found:
+    for a, b in sorted(found):
         if not outer or a > outer[-1][1]:
             outer.append((a, b))
     return outer
@@ -233,183 +267,243 @@ class Splitter:
 
     def __init__(self, text: str, lexicon: Lexicon):
         self.text, self.lexicon = text, lexicon
-        self._own: tuple[dict[str, list[int]], set[str]] | None = None
-
-    def own(self) -> tuple[dict[str, list[int]], set[str]]:
-        """Of this document: word -> [with a period and going on, with a period, without]; words in lower case."""
-        if self._own is None:
-            counts: dict[str, list[int]] = {}
-            common: set[str] = set()
-            for word, role in roles(self.text, self.lexicon.starters):
-                if role == "common":
-                    common.add(word)
-                elif role != "start":
-                    counts.setdefault(word, [0, 0, 0])[("on", "end", "plain").index(role)] += 1
-            self._own = ({w: [on, on + end, plain] for w, (on, end, plain) in counts.items()}, common)
-        return self._own
-
-    def is_common(self, word: str) -> bool:
-        """Whether a capitalised word is an ordinary word, that is, has its capital from the start of a sentence."""
+        self.units = paragraphs(text)
+        self._periods: dict[str, list[int]] | None = None
+        self._words: PlainWords | None = None
+        self._pieces: list[list[str]] | None = None
+        self._known: dict[str, bool] = {}
+        self._clear: dict[str, bool] = {}
+        self._run, self._in_address, self._lead = (0, 0), False, 0  # of the paragraph being cut
+
+    def pieces(self) -> list[list[str]]:
+        if self._pieces is None:
+            self._pieces = pieces_of(self.text, self.units)
+        return self._pieces
+
+    def own_periods(self, word: str) -> list[int]:
+        """Of this document: how often a period stands behind the word and the sentence goes on; and how often in all.
+        Where no sentence goes on behind any period, all are 0."""
+        if self._periods is None:
+            self._periods = {}
+            pieces = self.pieces() if GOES_ON.search(self.text) else []
+            for found, goes_on in with_period(pieces, self.lexicon.starters):
+                n = self._periods.setdefault(found, [0, 0])
+                n[0] += goes_on
+                n[1] += 1
+        return self._periods.get(word, [0, 0])
+
+    def own_words(self) -> PlainWords:
+        if self._words is None:
+            pairs: Counter[tuple[str, str]] = Counter()
+            count_pairs(self.pieces(), pairs)
+            self._words = PlainWords(pairs)
+        return self._words
+
+    def own_plain(self, word: str) -> int:
+        """How often this document has the word without period; a capitalised one in small letters, in the midst of a sentence."""
+        if self._words is None and len(self.text) < SHORT_TEXT:
+            plain = word if word[:1].islower() else word.lower()
+            if self.text.count(plain) == self.text.count(plain + "."):
+                return 0
+        words = self.own_words()
+        return words.midst[word] + words.elsewhere[word] if word[:1].islower() else words.midst[word.lower()]
+
+    def begins(self, word: str) -> bool:
+        """Whether a capitalised word has its capital from the start of a sentence: an ordinary word, and not a name here."""
         low = word.lower()
-        return low in self.lexicon.common or low in self.own()[1]
+        midst = self.own_words().midst
+        if low in midst or low == "i":
+            return True
+        return word not in midst and low in self.lexicon.common
 
     def is_abbreviation(self, word: str) -> bool:
+        """By the document, then by the corpus, then by the lists."""
+        known = self._known.get(word)
+        if known is None:
+            known = self._known[word] = self._decide(word)
+        return known
+
+    def is_clear(self, word: str) -> bool:
+        """Whether a period behind the word always ends the sentence before a capital: it is no abbreviation, number or initial."""
+        known = self._clear.get(word)
+        if known is None:
+            low = word.lower()
+            known = len(word) > 1 and word.isalpha() and low not in REFERENCES and not ROMAN.fullmatch(word) and not self.is_abbreviation(word)
+            self._clear[word] = known
+        return known
+
+    def _decide(self, word: str) -> bool:
         low = word.lower()
-        if low in CONTINUING or low in MAY_END or low.endswith("str") or (len(word) == 2 and word.isupper() and word[0] == word[1]):
-            return True
-        if len(word) > 10 or any(c.isdigit() for c in word):
+        listed = low in CONTINUING or low in MAY_END or low.endswith("str") or (low in TITLES and word[0].isupper())
+        listed = listed or (len(word) == 2 and word.isupper() and word[0] == word[1])
+        on, _ = self.own_periods(word)
+        if not listed and not on and word not in self.lexicon.going_on:
             return False
-        corpus_on, corpus_periods = self.lexicon.periods.get(word, (0, 0))
-        if corpus_periods >= 20 and 10 * corpus_on < corpus_periods and corpus_on < self.lexicon.plain.get(word, 0) + corpus_periods // 20:
-            return False  # the corpus is clear about it
-        on, periods, plain = self.own()[0].get(word, (0, 0, 0))
-        if plain == 0 and on and 2 * on >= periods and 2 * corpus_on >= corpus_periods:
-            return True
+        plain = self.own_plain(word)
         if plain > on:
             return False
-        on, periods = corpus_on, corpus_periods
-        return on > 2 and on > 0.5 * periods and on > self.lexicon.plain.get(word, 0)
+        corpus = self.lexicon.says(word)
+        if on > 1 or (on and corpus is not False and not self.lexicon.ends_with_period(word)):  # once only may be a slip
+            return True
+        return listed if corpus is None else corpus
 
-    def starts_low(self, after: str) -> bool:
-        """Whether what begins in lower case may begin a sentence: names of programs and repositories."""
-        m = WORD.match(after)
-        return bool(CODE_NAME.match(after)) or bool(m) and m.group() in self.lexicon.starters
+    def starts_low(self, p: str, k: int) -> bool:
+        """Whether what begins at p[k] in lower case may begin a sentence: names of programs and repositories."""
+        if CODE_NAME.match(p, k):
+            return True
+        m = WORD.match(p, k)
+        return bool(m) and m.group() in self.lexicon.starters
+
+    def run_before(self, p: str, at: int) -> str:
+        """The characters of a word or an address before p[at]. Of a run that was read up to a mark in it only the rest is read."""
+        blank = p.rfind(" ", max(0, at - 24), at)
+        if blank >= 0 and (word := p[blank + 1 : at]).isalpha():  # the usual case
+            self._in_address = False
+            return word
+        start, end = self._run
+        lowest = end if end <= at else 0
+        begin = RUN_BEFORE.match(p, lowest, at).start()
+        fresh = begin
+        if begin == lowest and lowest:
+            begin = start
+        else:
+            self._in_address = False
+        self._run = (begin, at)
+        self._in_address = self._in_address or bool(IN_ADDRESS.search(p, max(begin, fresh - 4), at))
+        return p[begin:at]
 
     def ends(self, p: str, at: int, stop: int, mark: str) -> bool:
         """Whether the sentence that ``mark`` closes (p[at:stop] with closers) ends there, outside of quotations."""
-        rest = p[stop : stop + 200]
-        after = rest.lstrip()
-        if not after:
-            rest = p[stop:]
-            after = rest.lstrip()
-        if not after:
-            return True
-        blank = len(after) < len(rest)
-        first = after[0]
+        k = stop + 1
+        if p[stop : stop + 1] != " " or p[k : k + 1].isspace() or k >= len(p):
+            visible = VISIBLE.search(p, stop)
+            if not visible:
+                return True
+            k = visible.start()
+        blank, first = k > stop, p[k]
         if mark[0] in FULL_STOPS:
             if first in ",，、;；:：" or (first in CLOSERS and first not in OPENERS):
                 return False
             return not (mark[0] == "．" and first.isdigit())
-        word = WORD_BEFORE.search(p[max(0, at - 80) : at]).group().lstrip(".'’-/_&+@:=#")
+        word = self.run_before(p, at).lstrip(".'’-/_&+@:=#")
         head, dot, tail = word.rpartition(".")
         if dot and tail[:1].isupper() and len(head.rpartition(".")[2]) > 2:
             word = tail  # two sentences without a blank between them
-        if mark[0] in ";;":
+        if mark[0] in ";;":
             return bool(word) and bool(GREEK.match(word[-1])) and (blank or first in CLOSERS)
         if first in ",;:，、；：" or (first in "-–—" and first != "-" and mark != "."):
             return False
         if not blank:
-            return self.ends_without_blank(p, at, mark, word, after)
-        if mark in ("..", "...", "....") or "…" in mark:
-            return not first.islower() or self.starts_low(after)
-        if mark != ".":
-            return not first.islower() or self.starts_low(after)
-        if not word:
-            return bool(p[max(0, at - 80) : at].strip()) and (not first.islower() or self.starts_low(after))
-        return self.period_ends(p, at, word, after)
+            return self.ends_without_blank(p, at, mark, word, k)
+        if mark != "." or not word:
+            return (mark != "." or at > self._lead) and (not first.islower() or self.starts_low(p, k))
+        return self.period_ends(p, at, word, k)
 
-    def ends_without_blank(self, p: str, at: int, mark: str, word: str, after: str) -> bool:
-        first, last = after[0], p[at - 1 : at]
+    def ends_without_blank(self, p: str, at: int, mark: str, word: str, k: int) -> bool:
+        first, last = p[k], p[at - 1 : at]
         if NO_BLANK_SCRIPT.match(first) and mark != ".":
             return True
-        if IN_ADDRESS.search(WORD_BEFORE.search(p[max(0, at - 80) : at]).group()):
+        if self._in_address:
             return False
-        if UNCASED.match(last) and (UNCASED.match(first) or CODE_NAME.match(after)):
+        if UNCASED.match(last) and (UNCASED.match(first) or CODE_NAME.match(p, k)):
             return True
         if "…" in mark or len(mark) > 1:
             return first.isupper()
-        if first.isupper() and (CAPITAL_START.match(after) or UNCASED.match(last)):
+        if first.isupper() and (CAPITAL_START.match(p, k) or UNCASED.match(last)):
             if "/" in word or not (last.isalpha() or last.isdigit() or last in CLOSERS or last in "%€$°"):
                 return False
             tail = word.rpartition(".")[2]
             if last.isdigit():
-                return bool(CAPITAL_WORD.match(after))
+                return bool(CAPITAL_WORD.match(p, k))
             return len(tail) > 2 or word.lower() in MAY_END
         if mark != ".":
             return first in QUOTES or first.isupper() or first in "¿¡("
-        return bool(UNCASED.match(first)) and len(word) > 2 or first in "¿¡«„“" or (last.isalpha() and len(word) > 3 and "." not in word and self.low_start_attached(after))
+        return bool(UNCASED.match(first)) and len(word) > 2 or first in "¿¡«„“" or (last.isalpha() and len(word) > 3 and "." not in word and self.low_start_attached(p, k))
 
-    def low_start_attached(self, after: str) -> bool:
-        m = LOW_WORD.match(after)
+    def low_start_attached(self, p: str, k: int) -> bool:
+        m = LOW_WORD.match(p, k)
         return bool(m) and (m.group() in self.lexicon.starters or "/" in m.group())
 
-    def period_ends(self, p: str, at: int, word: str, after: str) -> bool:
-        first = after[0]
+    def period_ends(self, p: str, at: int, word: str, k: int) -> bool:
+        first = p[k]
         low = word.lower()
-        m = WORD.match(after.lstrip("\"'“„«‹([¿¡`"))
-        following = m.group() if m else ""
+        if first.isupper() and self.is_clear(word):
+            return True
+        m = FOLLOWING.match(p, k)
+        following = m.group(1) if m else ""
         if word.isdigit() or ROMAN.fullmatch(word):
-            before = WORD.findall(p[max(0, at - len(word) - 24) : at - len(word)])
-            if word.isdigit() and len(word) < 4 and before and before[-1].lower() in BEFORE_ORDINAL and first.isalpha():
-                return self.is_common(following) and following.lower() in BEFORE_ORDINAL and before[-1].lower() not in ("dem", "zum", "am", "vom", "seit")
+            before = PREVIOUS.match(p, 0, at - len(word)) if word.isdigit() and len(word) < 4 else None
+            previous = before.group(1).lower() if before else ""
+            if previous in BEFORE_ORDINAL and first.isalpha():
+                return following.lower() in BEFORE_ORDINAL and self.begins(following) and previous not in ("dem", "zum", "am", "vom", "seit")
             if word.isdigit():
-                return not first.islower() or self.starts_low(after)
+                return not first.islower() or self.starts_low(p, k)
         if len(word) == 1 and word.isalpha():
             if UNCASED.match(word):
                 return not ABBREVIATING_SCRIPT.match(word)
             if word.islower() and low not in MAY_END:
-                pair = LETTER_BEFORE.search(p[max(0, at - 12) : at - 1])
+                pair = LETTER_BEFORE.match(p, 0, at - 1)
                 if pair and f"{pair.group(1).lower()}.{low}" in MAY_END:
-                    return first.isupper() and self.is_common(following)
+                    return first.isupper() and self.begins(following)
                 return False
             if word.isupper():
                 if first.islower() or first.isdigit():
                     return False
-                pair = CAPITAL_BEFORE.search(p[max(0, at - 12) : at - 1])
-                return bool(pair) and f"{pair.group(1).lower()}.{low}" in MAY_END and self.is_common(following)
+                pair = CAPITAL_BEFORE.match(p, 0, at - 1)
+                return bool(pair) and f"{pair.group(1).lower()}.{low}" in MAY_END and self.begins(following)
+        if low in REFERENCES and NUMBER_OR_LETTER.match(p, k) and following not in ("A", "I"):
+            return False
         if self.is_abbreviation(word):
             if low in MAY_END:
                 if first.isupper() or first in "\"“„«‹¿¡(":
-                    if low in ("u.s", "u.k", "u.n", "av", "ave", "blvd", "rd", "г", "в", "co", "jr") and first.isupper():
-                        return self.is_common(following)
-                    return True
+                    return self.begins(following) if low in BEFORE_NAMES and first.isupper() else True
                 if first.isdigit():
                     return low in ("inc", "ltd", "corp", "llc", "p.m", "a.m", "gmbh")
                 if first.islower():
-                    return self.starts_low(after)
+                    return self.starts_low(p, k)
                 return bool(UNCASED.match(first)) or not first.isalnum() and first not in "$€£%&-–—"
-            if low in CONTINUING or low.endswith("str"):
+            if low in CONTINUING or low in TITLES or low.endswith("str"):
                 return False
             if len(word) == 2 and word.isupper() and word[0] == word[1]:  # plurals of initials, as in "EE. UU."
-                return first.isupper() and self.is_common(following)
+                return first.isupper() and self.begins(following)
             # A learned one: what follows with a capital starts a sentence only if it is a common word.
-            return first.isupper() and self.is_common(following) or (not first.isalnum() and first not in "$€£%&-–—(")
+            return first.isupper() and self.begins(following) or (not first.isalnum() and first not in "$€£%&-–—(")
         if first.islower():
-            return self.starts_low(after) or self.own()[0].get(word, (0, 0, 0))[2] > 0 or word in self.lexicon.plain
+            return self.starts_low(p, k) or self.own_plain(word) > 0 or word in self.lexicon.plain
         return True
 
     def goes_on(self, p: str, sentence: int, a: int, stop: int, opens: set[int]) -> bool:
         """Whether the sentence goes on after the quotation or bracket, opened at p[a], that holds a terminator at its end."""
-        after = p[stop : stop + 200].lstrip() or p[stop:].lstrip()
-        if not after or len(p) - len(p[stop:].lstrip()) in opens:
+        visible = VISIBLE.search(p, stop)
+        if not visible or visible.start() in opens:
             return False
-        first = after[0]
+        k = visible.start()
+        first = p[k]
         if first in ",;:，、；：。.!?！？…।۔؟" or first in CLOSERS:
             return True
-        quoted = p[a] in QUOTES
-        introduced = bool(p[sentence:a].strip())
-        if not quoted:
-            if not introduced:
-                return False
-            return not first.isupper() and not (first in QUOTES or first in OPENERS or first in "¿¡")
+        before = VISIBLE.search(p, sentence)
+        introduced = before.start() < a
+        if p[a] not in QUOTES:
+            return introduced and not first.isupper() and not (first in QUOTES or first in OPENERS or first in "¿¡")
         if first in "—–-":
             return True
         if NO_BLANK_SCRIPT.match(first) or first in "と":
-            return bool(KANA_QUOTE.match(after) or not introduced and HAN_SPEECH.match(after))
-        if HANGUL_QUOTE.match(after):
+            return bool(KANA_QUOTE.match(p, k) or not introduced and HAN_SPEECH.match(p, k))
+        if HANGUL_QUOTE.match(p, k):
             return True
         if UNCASED.match(first):
-            return introduced and bool(AND_THEN.match(after))
+            return introduced and bool(AND_THEN.match(p, k))
         if first.islower():
-            m = WORD.match(after)
-            return not CODE_NAME.match(after) and not (m and m.group() in self.lexicon.starters)
-        return p[a + 1 : stop].rstrip("\"'”»“ \u00a0\u202f")[-1:] in ("?", "!") and bool(SPEECH_AFTER_NAME.match(after))
+            return not self.starts_low(p, k)
+        return p[a + 1 : stop].rstrip("\"'”»“ \u00a0\u202f")[-1:] in ("?", "!") and bool(SPEECH_AFTER_NAME.match(p, k))
 
     def prose(self, start: int, end: int, item: bool) -> Iterator[tuple[int, int]]:
         p = self.text[start:end]
-        if not item and not LINE_END.search(p.strip()) and not _ended(p) and _is_title(p):
+        if not item and not _ended(p) and not LINE_END.search(p.strip()) and _is_title(p):
             yield from trimmed(self.text, start, end)
             return
+        self._run, self._in_address = (0, 0), False
+        self._lead = VISIBLE.search(p).start()
         skip = 0
         if item:
             m = ITEM_MARKER.match(p)
@@ -423,6 +517,12 @@ class Splitter:
         while m := TERMINATOR.search(p, at):
             i, j = m.span()
             at = j
+            if j == i + 1 and (k >= len(inside) or j <= inside[k][0]) and p[i] == "." and p[j : j + 1] == " " and p[j + 1 : j + 2].isupper():
+                blank = p.rfind(" ", max(0, i - 24), i)  # the usual case: a small word, a blank and a capital
+                if blank >= 0 and self.is_clear(p[blank + 1 : i]):
+                    cuts.append(j)
+                    sentence = j
+                    continue
             while k < len(inside) and inside[k][1] < i:
                 k += 1
             if k < len(inside) and inside[k][0] < i < inside[k][1]:
@@ -448,7 +548,7 @@ class Splitter:
                 cuts.append(stop)
                 sentence = stop
             at = max(at, stop)
-        for blank in TO_LAST_LETTER.finditer(p, skip):
+        for blank in () if p.isascii() else TO_LAST_LETTER.finditer(p, skip):
             i = blank.start(1)
             if not any(a < i < b for a, b in inside):
                 cuts.append(i)
@@ -459,11 +559,11 @@ class Splitter:
         yield from trimmed(self.text, start + last, end)
 
     def abbreviation_at(self, p: str, at: int, mark: str) -> bool:
-        word = WORD_BEFORE.search(p[max(0, at - 80) : at]).group().lstrip(".'’-/_&+@:=#")
+        word = self.run_before(p, at).lstrip(".'’-/_&+@:=#")
         return mark == "." and bool(word) and self.is_abbreviation(word)
 
     def sentences(self) -> Iterator[tuple[int, int]]:
-        for start, end, kind in paragraphs(self.text):
+        for start, end, kind in self.units:
             if kind == "whole":
                 yield from trimmed(self.text, start, end)
             else:
@@ -487,66 +587,111 @@ def trimmed(text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
         yield start, end
 
 
-TOKEN = regex.compile(r"[\p{L}\p{M}]+(?:['’\-.][\p{L}\p{M}]+)*")
+# A word as it is counted, with an opener before it and at most one mark, or a period and a mark, behind it.
+COUNTED = regex.compile(r"[(\"“«„]?([\p{L}\p{M}]+(?:['’\-.][\p{L}\p{M}]+)*+)(?:([.,;:]?)|(\.[,;]))")
+#: Entries of the table of what is known of the pieces between blanks; it is emptied when full.
+PIECES = 500_000
+_pieces: dict[str, tuple[str, str]] = {}
+
+
+def _piece(piece: str) -> tuple[str, str]:
+    """(word, mark) of what stands between two blanks; the word is "" where it isn't one word."""
+    known = _pieces.get(piece)
+    if known is None:
+        m = COUNTED.fullmatch(piece)
+        known = (m.group(1), m.group(3) or m.group(2)) if m else ("", "")
+        if len(_pieces) >= PIECES:
+            _pieces.clear()
+        if len(piece) <= 64:
+            _pieces[piece] = known
+    return known
+
+
+def pieces_of(text: str, units: Iterable[tuple[int, int, str]]) -> list[list[str]]:
+    """What stands between blanks, per unit of prose."""
+    return [text[a:b].split() for a, b, kind in units if kind != "whole"]
+
+
+def with_period(units: list[list[str]], starters: frozenset[str] = frozenset()) -> Iterator[tuple[str, bool]]:
+    """(word, whether the sentence goes on) of words with a period, but for the first of each unit."""
+    for pieces in units:
+        for i, piece in enumerate(pieces):
+            if i and (piece[-1] == "." or piece[-2:-1] == "."):
+                word, mark = _piece(piece)
+                if word and mark == ".":
+                    then = pieces[i + 1] if i + 1 < len(pieces) else ""
+                    yield word, bool(then) and (then[0].islower() or then[0] in ",;") and not CODE_NAME.match(then) and then not in starters
+                elif word and len(mark) == 2:
+                    yield word, True
+
+
+def count_pairs(units: list[list[str]], pairs: Counter[tuple[str, str]]) -> None:
+    """Adds the pieces with the last character of the piece before; the first of a unit stands behind a "?"."""
+    for pieces in units:
+        pairs.update(zip(["?", *[x[-1] for x in pieces]], pieces))
+
+
+class PlainWords:
+    """Words without period: ``midst``, in the midst of a sentence; ``elsewhere``, behind other marks, quotes and brackets;
+    ``starting``, in lower case where a sentence starts, at the head of a unit or behind a question or exclamation mark."""
+
+    def __init__(self, pairs: Counter[tuple[str, str]]):
+        self.midst: Counter[str] = Counter()
+        self.elsewhere: Counter[str] = Counter()
+        self.starting: Counter[str] = Counter()
+        for (behind, piece), n in pairs.items():
+            word, mark = _piece(piece)
+            if not word:
+                continue
+            if behind in "?!":
+                if piece[0].islower():
+                    self.starting[word] += n
+            elif mark[:1] != ".":
+                (self.midst if (behind.isalnum() or behind in ",;") and piece[0] == word[0] else self.elsewhere)[word] += n
 
 
-def roles(text: str, starters: frozenset[str] = frozenset()) -> Iterator[tuple[str, str]]:
+def roles(texts: Iterable[str]) -> Counter[tuple[str, str]]:
     """(word, role) of what stands unambiguously: "on" and "end" (a period follows, and the sentence goes on or
-    may end), "plain" (none follows), "common" (in lower case), "start" (in lower case where a sentence starts)."""
-    for start, end, kind in paragraphs(text):
-        if kind == "whole":
-            continue
-        p = text[start:end]
-        first = True
-        for m in TOKEN.finditer(p):
-            word, i, j = m.group(), m.start(), m.end()
-            if len(word) > LONGEST_WORD:
-                first = False
-                continue
-            before, after = p[i - 1 : i], p[j : j + 1]
-            behind = p[max(0, i - 8) : i].rstrip()[-1:] if before.isspace() else before
-            if first or (before.isspace() and behind in "?!"):
-                if word[0].islower() and after != "/":
-                    yield word, "start"
-                first = False
-                continue
-            if after == "." and before not in "./":
-                then = p[j + 1 : j + 48].lstrip()
-                if p[j + 1 : j + 2].isspace() or not then:
-                    if then and (then[0].islower() or then[0] in ",;") and not CODE_NAME.match(then):
-                        if not starters or then.split()[0] not in starters:
-                            yield word, "on"
-                    else:
-                        yield word, "end"
-                elif then[0] in ",;":
-                    yield word, "on"
-            elif (after.isspace() or after in ",;:") and (before.isspace() or before in "(\"“«„"):
-                yield word, "plain"
-                if word[0].islower() and (behind.isalnum() or behind in ",;"):
-                    yield word, "common"
+    may end), "plain" (none follows), "common" (in lower case in the midst of a sentence), "start" (in lower case
+    where one starts)."""
+    pairs: Counter[tuple[str, str]] = Counter()
+    counts: Counter[tuple[str, str]] = Counter()
+    for text in texts:
+        units = pieces_of(text, paragraphs(text))
+        counts.update((word, "on" if on else "end") for word, on in with_period(units))
+        count_pairs(units, pairs)
+    words = PlainWords(pairs)
+    for word, n in (words.midst + words.elsewhere).items():
+        counts[word, "plain"] += n
+    for word, n in words.midst.items():
+        if word[0].islower():
+            counts[word, "common"] += n
+    for word, n in words.starting.items():
+        counts[word, "start"] += n
+    return counts
 
 
 def count_roles(df: DataFrame, text: str) -> DataFrame:
     """Words of all texts with the number of times they have each role."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[tuple[str, str]] = Counter()
-
-        def written() -> pa.RecordBatch:
-            keys = list(counts)
-            columns = [pa.array([k[0] for k in keys]), pa.array([k[1] for k in keys]), pa.array([counts[k] for k in keys], pa.int64())]
-            return pa.RecordBatch.from_arrays(columns, names=["word", "role", "n"])
+    def written(texts: list[str]) -> pa.RecordBatch:
+        counts = roles(texts)
+        columns = [pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.string()), pa.array(list(counts.values()), pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, names=["word", "role", "n"])
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
             for value in batch.column(0):
-                held = value.as_py()
-                if held:
-                    counts.update(roles(held))
-                if len(counts) >= COUNTER_SIZE:
-                    yield written()
-                    counts.clear()
-        if counts:
-            yield written()
+                content = value.as_py()
+                if content:
+                    held.append(content)
+                    size += len(content)
+                if size >= COUNTED_CHARS:
+                    yield written(held)
+                    held, size = [], 0
+        if held:
+            yield written(held)
 
     counted = spread(pick(df, text=text)).mapInArrow(count, "word string, role string, n long")
     return counted.groupBy("word", "role").agg(F.sum("n").alias("n"))

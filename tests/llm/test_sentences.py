@@ -121,3 +121,46 @@ def test_lexicon_is_learned_from_all_texts(spark):
     texts = ["Take the mirr. of the house now, and see the mirr. of the barn."] * 4 + ["npm runs. We see the house. The barn is here."] * 5
     lexicon = learn_lexicon(spark.createDataFrame([(t,) for t in texts], "text string"), text="text")
     assert lexicon.periods["mirr"] == (8, 8) and "house" in lexicon.common and "npm" in lexicon.starters
+
+
+def bare(text):
+    """Without any knowledge of the corpus."""
+    return cut(text, Lexicon())
+
+
+def test_document_decides_before_lists():
+    assert bare("He said no. Then he left.") == ["He said no.", "Then he left."]
+    assert len(bare("The app works. I like the app a lot. I opened the app. It crashed.")) == 4
+    assert len(bare("She ate a fig. It was sweet.")) == 2
+    assert len(bare("They met the rep. We talked.")) == 2
+    assert len(bare("See no. 5 and fig. 3 of vol. II there. Rep. Smith agrees.")) == 2
+    # an abbreviation that no list knows: the document shows it with a small letter behind its period
+    text = "The blorp. of the house is old, and the blorp. of the yard is new. They call it blorp. Harris too."
+    assert len(bare(text)) == 2
+
+
+def test_names_of_the_document_go_on():
+    assert len(bare("He works for Acme Co. Will saw it. They gave Will a prize there.")) == 2
+    assert len(bare("He works for Acme Co. Will it last? Nobody will know it.")) == 3
+
+
+def test_no_window_of_characters():
+    address = "https://example.org/" + "a/" * 400 + "b.Core?x=1.Two"
+    assert bare(f"See {address} for it. It helps.") == [f"See {address} for it.", "It helps."]
+    blanks = " " * 5000
+    assert len(bare(f"It ends.{blanks}It begins.")) == 2 and len(bare(f"It cost approx.{blanks}five coins.")) == 1
+    speech = "It is so. " * 400
+    assert len(bare(f'He said: "{speech.strip()}" Then he left.')) == 2
+    assert len(bare(f'An "open quote. It goes on. She said: "{speech.strip()}" Then he left.')) == 4
+    word = "x" * 300
+    assert len(bare(f"The {word}. of it and the {word}. of them stay. Then {word}. Smith came.")) == 2
+    chapter = "Chapter 7 " + "tells of the long road " * 8
+    assert bare(chapter) == [chapter.strip()]
+
+
+def test_long_address_takes_time_in_proportion():
+    import time
+
+    began = time.perf_counter()
+    assert len(bare("x.yz/" * 40_000 + " end. Next.")) == 2
+    assert time.perf_counter() - began < 20
