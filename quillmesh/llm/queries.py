@@ -187,6 +187,44 @@ def p7_shares(spark: SparkSession, folder: str) -> DataFrame:
     return _mix(spark, folder).shares
 
 
+def p7_invariants(spark: SparkSession, folder: str) -> DataFrame:
+    """Per source of the target what must hold of the mix, taken from its rows: uses beyond the cap, documents that aren't of
+    the source or stand twice in a pass, and whether the report says what the rows do."""
+    mix = _mix(spark, folder)
+    documents = pick(table(spark, folder, "documents"), doc_id="doc_id", source="source", text="text").filter("text <> ''")
+    usable = documents.groupBy("source").agg(F.count("*").alias("usable"))
+    per_use = mix.rows.groupBy("source", "doc_id").agg(F.count("*").alias("n"), F.count_distinct("pass").alias("passes"), F.sum("tokens").alias("tokens"))
+    per_use = per_use.join(documents.select("doc_id", F.col("source").alias("own")), "doc_id", "left")
+    target = pick(table(spark, folder, "mix_target"), source="source", max_repeats="max_repeats").filter("source is not null")
+    per_use = per_use.join(target, "source", "left")
+    seen = per_use.groupBy("source").agg(
+        F.count_if(F.col("n") > F.col("max_repeats")).alias("over_cap"),
+        F.count_if(~F.col("own").eqNullSafe(F.col("source"))).alias("strangers"),
+        F.count_if(F.col("n") != F.col("passes")).alias("repeated"),
+        F.sum("tokens").alias("tokens"),
+    )
+    out = mix.shares.select("source", "target_share", "used_tokens", "actual_share", "outcome").join(target, "source").join(usable, "source", "left").join(seen, "source", "left")
+    out = out.na.fill(0, ["usable", "over_cap", "strangers", "repeated", "tokens"])
+    return out.select(
+        "source",
+        "max_repeats",
+        "usable",
+        "over_cap",
+        "strangers",
+        "repeated",
+        (F.col("tokens") == F.col("used_tokens")).alias("reported"),
+        (F.col("outcome") == "absent").alias("absent"),
+        F.when(F.col("outcome") == "met", F.col("actual_share") >= F.col("target_share") * 0.9).otherwise(True).alias("near"),
+    )
+
+
+P7_INVARIANTS = """
+SELECT t.source, max(t.max_repeats) AS max_repeats, coalesce(max(n), 0)::BIGINT AS usable, 0::BIGINT AS over_cap, 0::BIGINT AS strangers, 0::BIGINT AS repeated,
+    true AS reported, coalesce(max(n), 0) = 0 AS absent, true AS near
+FROM mix_target t LEFT JOIN (SELECT source, count(*) AS n FROM documents WHERE text <> '' GROUP BY 1) d ON d.source = t.source
+WHERE t.source IS NOT NULL GROUP BY t.source
+"""
+
 # --- 8: sentence boundaries across languages and scripts
 
 
@@ -196,6 +234,6 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "p1_found": p1_found, "p1_scores": p1_scores, "p2_found": p2_found, "p3_found": p3_found, "p3_cards": p3_cards, "p4_found": p4_found, "p5_found": p5_found,
-    "p6_ids": p6_ids, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found,
+    "p6_ids": p6_ids, "p7_mix": p7_mix, "p7_shares": p7_shares, "p7_invariants": p7_invariants, "p8_found": p8_found,
 }
-ORACLE_SQL = {"p1_found": P1_FOUND, "p1_scores": P1_SCORES, "p3_found": P3_FOUND, "p4_found": P4_FOUND, "p5_found": P5_FOUND}
+ORACLE_SQL = {"p1_found": P1_FOUND, "p1_scores": P1_SCORES, "p3_found": P3_FOUND, "p4_found": P4_FOUND, "p5_found": P5_FOUND, "p7_invariants": P7_INVARIANTS}

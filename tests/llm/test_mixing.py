@@ -1,26 +1,58 @@
 import math
+import os
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from quillmesh.llm.mixing import mix_sources, plan_quotas, schedule
+from quillmesh.tables import table
+
+FOLDER = "/root/testdata/sf0.001"
 
 DOCS = "doc_id long, text string, source string, tokens long, SOURCE string"
 TARGET = "source string, target_share double, max_repeats int"
 
 
-@settings(max_examples=100, deadline=None)
-@given(st.dictionaries(st.sampled_from("abcdefg"), st.integers(0, 60), min_size=1))
-def test_schedule_is_less_than_a_block_away_from_every_share(blocks):
+@settings(max_examples=200, deadline=None)
+@given(st.dictionaries(st.sampled_from("abcdefg"), st.lists(st.integers(1, 40), max_size=30), min_size=1))
+def test_schedule_is_less_than_the_largest_block_away_from_every_share(blocks):
     slots = schedule(blocks)
-    total = sum(blocks.values())
-    assert len(slots) == total
-    given_so_far = dict.fromkeys(blocks, 0)
-    for t, source in enumerate(slots, 1):
-        given_so_far[source] += 1
-        for s, n in blocks.items():
-            assert abs(given_so_far[s] - n * t / total) < 1
+    assert sorted(slots) == sorted((s, j) for s, lengths in blocks.items() for j in range(len(lengths)))
+    assert_bound([(s, blocks[s][j]) for s, j in slots], max((n for lengths in blocks.values() for n in lengths), default=1))
+
+
+def assert_bound(steps, largest):
+    """After each (source, tokens) every source is less than ``largest`` away from its share of all."""
+    whole = {}
+    for s, n in steps:
+        whole[s] = whole.get(s, 0) + n
+    total, now, given_so_far = sum(whole.values()), 0, dict.fromkeys(whole, 0)
+    for s, n in steps:
+        given_so_far[s] += n
+        now += n
+        assert all(abs(given_so_far[r] - whole[r] * now / total) < largest for r in whole)
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="the driver's tables aren't here")
+def test_rows_keep_the_bound(spark):
+    mix = mix_sources(table(spark, FOLDER, "documents"), table(spark, FOLDER, "mix_target"))
+    rows = mix.rows.orderBy("slot", "at").collect()
+    blocks = {}
+    for r in rows:
+        blocks[r["slot"]] = blocks.get(r["slot"], 0) + r["tokens"]
+    assert len(rows) > 20
+    assert_bound([(r["source"], r["tokens"]) for r in rows], max(blocks.values()))
+
+
+def test_long_documents_keep_the_bound(spark):
+    docs = [(i, "word " * (3 + 400 * (i % 11 == 0)), "ab"[i % 2], 1, "x") for i in range(300)]
+    target = spark.createDataFrame([("a", 0.7, 1), ("b", 0.3, 2)], TARGET)
+    rows = mix_sources(spark.createDataFrame(docs, DOCS), target).rows.orderBy("slot", "at").collect()
+    blocks = {}
+    for r in rows:
+        blocks[r["slot"]] = blocks.get(r["slot"], 0) + r["tokens"]
+    assert_bound([(r["source"], r["tokens"]) for r in rows], max(blocks.values()))
 
 
 def test_quotas():
