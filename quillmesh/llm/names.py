@@ -3,23 +3,28 @@
 Method: block by phonetic codes of sorted tokens, compare with Jaro-Winkler and a table of nicknames, cluster
 the accepted pairs by connected components.
 
-- A name is read into surname, given name and middle name (or the words of an organisation) from both of its
+- A name is read into surname, given name and further given names (or the words of an organisation) from both of its
   columns: titles, quotes, order, case, accents, Cyrillic, handles and legal forms are undone. Which words are
   given names, and which are ordinary words of organisations, is learned from all rows.
 - Rows that read the same are one; only their different readings are compared. Blocks are the sorted codes of
   surname and initial, where a code is the word's consonants by sound, or the word with one consonant left out,
-  so that a typing error in either letter still meets. Blocks above a bound are divided by year of birth.
-- A pair is accepted if its names agree, with one typing error a word at most, and nothing contradicts:
-  years differ by one at most, middle names don't differ. A reading without year, or with only an initial, that
-  would agree with readings that contradict one another, is not linked to any of them.
+  so that a typing error in the surname still meets; and the sorted codes of surname and given name without its
+  first letter, so that one there does. Bodies have such blocks for every word. Blocks above a bound are divided by
+  year of birth and spread over several tasks.
+- A pair is accepted if its names agree and nothing contradicts. Two words agree by nickname, by sound, or from a
+  Jaro-Winkler score of ``SAME_WORD`` on, which decides alone. Years differ by one at most, further given names don't
+  differ. A reading without year, or with only an initial, that would agree with readings that contradict one
+  another, is not linked to any of them.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import regex
@@ -34,7 +39,12 @@ GIVEN_SHARE, GIVEN_ROWS = 2e-4, 3
 COMMON_SHARE, COMMON_ROWS = 0.01, 8
 #: Readings in a block from which on it is divided by year.
 LARGE_BLOCK = 200
-SAME_WORD = 0.75
+#: Readings of a large block that one task holds.
+SALTED_ROWS = 2000
+#: Jaro-Winkler from which on two words are spellings of one.
+SAME_WORD = 0.9
+#: In place of a given name: the word before it is the whole name.
+WHOLE = "="
 
 # Nicknames and the names they stand for.
 NICKNAMES = {
@@ -77,34 +87,36 @@ CYRILLIC = str.maketrans(
 LATIN = str.maketrans({"ø": "o", "ł": "l", "đ": "d", "ð": "d", "þ": "th", "ß": "ss", "æ": "ae", "œ": "oe", "ı": "i"})
 SOUNDS = str.maketrans({"c": "k", "q": "k", "x": "k", "w": "v", "y": "i", "ß": "s"})
 VOWELS = frozenset("aeiou")
+NO_VOWELS = str.maketrans("", "", "aeiou")
+DOUBLED = re.compile(r"(.)\1+", re.DOTALL)
 
 QUOTED = regex.compile(r"[\"“”„«»](.*?)[\"“”„«»]")
 IN_BRACKETS = regex.compile(r"\([^)]*\)")
 HAS_CYRILLIC = regex.compile(r"\p{Cyrillic}")
 TWO_INITIALS = regex.compile(r"(?<![\w.])(\p{Lu})(\p{Lu})(?![\w.'’-])")
+ACRONYM = regex.compile(r"\p{Lu}{1,5}|(?:\p{Lu}\.){1,5}")
 HANDLE = regex.compile(r"^([^\W\d_]+)([._])([^\W\d_]+)$")
 
 
 def folded(text: str) -> str:
     """Lower case without accents, in Latin letters, white space squeezed."""
+    if text.isascii():
+        return " ".join(text.lower().split())
     text = unicodedata.normalize("NFKD", unicodedata.normalize("NFKC", text).lower().translate(CYRILLIC))
     return " ".join("".join(c for c in text if not unicodedata.combining(c)).translate(LATIN).replace("​", "").replace("﻿", "").split())
 
 
+@lru_cache(maxsize=200_000)
 def by_sound(word: str) -> str:
     """The word in letters of one sound, doubled letters once."""
-    out = []
-    for c in word.translate(SOUNDS):
-        if not out or out[-1] != c:
-            out.append(c)
-    return "".join(out)
+    return DOUBLED.sub(r"\1", word.translate(SOUNDS))
 
 
+@lru_cache(maxsize=200_000)
 def skeleton(word: str) -> str:
     """Its first letter, if a vowel as "a", and its consonants by sound."""
     sound = by_sound(word)
-    rest = "".join(c for c in sound[1:] if c not in VOWELS)
-    return ("a" if sound[:1] in VOWELS else sound[:1]) + by_sound(rest)
+    return ("a" if sound[:1] in VOWELS else sound[:1]) + DOUBLED.sub(r"\1", sound[1:].translate(NO_VOWELS))
 
 
 def without_one_consonant(word: str) -> set[str]:
@@ -138,25 +150,18 @@ def jaro_winkler(a: str, b: str) -> float:
     return score + prefix * 0.1 * (1 - score)
 
 
-def one_error(a: str, b: str) -> bool:
-    """Whether one letter put in, left out or changed, or two neighbours swapped, make a into b (or nothing)."""
-    if a == b:
+@lru_cache(maxsize=200_000)
+def same_word(a: str, b: str) -> bool:
+    """One word, but for a typing error: equal, equal by sound, or alike by Jaro-Winkler; words under four letters aren't alike."""
+    if a == b or by_sound(a) == by_sound(b):
         return True
-    if abs(len(a) - len(b)) > 1:
-        return False
-    i = 0
-    while i < min(len(a), len(b)) and a[i] == b[i]:
-        i += 1
-    return a[i + 1 :] == b[i + 1 :] or a[i + 1 :] == b[i:] or a[i:] == b[i + 1 :] or (a[i : i + 2] == b[i : i + 2][::-1] and a[i + 2 :] == b[i + 2 :])
+    return min(len(a), len(b)) >= 4 and likeness(a, b) >= SAME_WORD
 
 
-def same_word(a: str, b: str) -> bool:
-    """One word, but for a typing error; by sound, if that makes them equal."""
-    if a == b:
-        return True
-    if by_sound(a) == by_sound(b):
-        return True
-    return min(len(a), len(b)) >= 4 and one_error(a, b) and jaro_winkler(a, b) >= SAME_WORD
+def likeness(a: str, b: str) -> float:
+    """Jaro-Winkler, read forwards or backwards, whichever is higher: its matching goes from left to right and favours equal
+    beginnings, so an early error would count more than a late one."""
+    return max(jaro_winkler(a, b), jaro_winkler(a[::-1], b[::-1]))
 
 
 class Words:
@@ -167,7 +172,8 @@ class Words:
 
 
 def human_forms(text: str | None, words: Words) -> list[tuple[str, str, str]]:
-    """Possible (surname, given, middle) of one spelling, folded; given and middle may be initials or missing."""
+    """Possible (surname, given, further given names) of one spelling, folded; they may be initials or missing. A single word
+    that can't be a handle is (word, "=", ""): it is compared as a whole."""
     if not text or not text.strip():
         return []
     nick = ""
@@ -185,7 +191,7 @@ def human_forms(text: str | None, words: Words) -> list[tuple[str, str, str]]:
         last = _tokens(surname)
         first = [t for t in _tokens(rest) if t not in TITLES and t not in SUFFIXES]
         if last and first:
-            return [("".join(last), first[0], first[1] if len(first) > 1 else "")]
+            return [("".join(last), first[0], " ".join(first[1:]))]
         tokens = last or first
     else:
         tokens = _tokens(s)
@@ -197,12 +203,12 @@ def human_forms(text: str | None, words: Words) -> list[tuple[str, str, str]]:
         return []
     if len(tokens) == 1:
         t = tokens[0]
-        return [(t[1:], t[0], ""), (t[:-1], t[-1], "")] if len(t) >= 5 and not comma and t not in words.givens else []
+        return [(t[1:], t[0], ""), (t[:-1], t[-1], "")] if len(t) >= 5 and t.isascii() and not comma and t not in words.givens else [(t, WHOLE, "")]
     while len(tokens) > 2 and tokens[-2] in PARTICLES:
         tokens = [*tokens[:-2], tokens[-2] + tokens[-1]]
     if len(tokens[-1]) == 1:
         return [(tokens[0], tokens[-1], "")]
-    middle = tokens[1] if len(tokens) > 2 else ""
+    middle = " ".join(tokens[1:-1])
     plain = (tokens[-1], tokens[0], middle)
     if len(tokens) == 2 and len(tokens[0]) > 1 and tokens[0] not in words.givens:
         turned = (tokens[0], tokens[1], "")
@@ -251,8 +257,7 @@ def reading(kind: str, name: str | None, sort_name: str | None, birth: int | Non
         forms = sorted({tuple(sorted(w)) for t in (name, sort_name) if len(w := body_words(t)[0]) >= 2})
         handles = sorted(handles_of(name) | handles_of(sort_name))
         if not forms:
-            single = {body_words(t)[1] for t in (name, sort_name)} - {""}
-            single = sorted(w for w in single if len(w) >= 6)  # shorter ones are acronyms, of many bodies alike
+            single = sorted({body_words(t)[1] for t in (name, sort_name) if t and not ACRONYM.fullmatch(t.strip())} - {""})
             if not single:
                 return None
             return json.dumps(["o", [], single, birth, death])
@@ -270,34 +275,46 @@ def reading(kind: str, name: str | None, sort_name: str | None, birth: int | Non
     full = sorted({g for _, g, _ in forms if len(g) > 1})
     out = set()
     for surname, given, middle in forms:
+        if given == WHOLE:
+            out.add((surname, given))
+            continue
         if len(surname) < 2:
             continue
         if len(given) == 1 and len({f[0] for f in forms if not same_word(f[0], surname)}) == 0:
             longer = [g for g in full if given in initials(g)]
             given = longer[0] if longer else given
         out.add((surname, given))
-    middles = sorted({m for _, _, m in forms if m}, key=lambda m: (-len(m), m))
-    return json.dumps(["h", sorted(out), middles[:1], birth, death]) if out else None
+    if any(g != WHOLE for _, g in out):  # the other column says more than a single word
+        out = {(s, g) for s, g in out if g != WHOLE}
+    middle = max((m for _, _, m in forms), key=lambda m: (m.count(" "), len(m), m))
+    return json.dumps(["h", sorted(out), middle.split(), birth, death]) if out else None
 
 
-def formal(given: str) -> set[str]:
+@lru_cache(maxsize=100_000)
+def formal(given: str) -> frozenset[str]:
     """The name itself, and those it may be a nickname of."""
-    return {given, *NICKNAMES.get(given, "").split()}
+    return frozenset((given, *NICKNAMES.get(given, "").split()))
 
 
-def initials(given: str) -> set[str]:
-    return {g[0] for g in formal(given)}
+@lru_cache(maxsize=100_000)
+def initials(given: str) -> frozenset[str]:
+    return frozenset(g[0] for g in formal(given))
 
 
 def keys_of(text: str, words: Words) -> list[str]:
     """The blocks of a reading: sorted codes of its words."""
-    what, forms, more, _, _ = json.loads(text)
+    what, forms, more, _, _ = parsed(text)
     keys = set()
     if what == "h":
         for surname, given in forms:
+            if given == WHOLE:
+                keys.add(f"s:{surname}")
+                continue
             for first in {by_sound(i) for i in initials(given)} if given else {""}:
-                keys.add("h:" + "|".join(sorted(("1" + first, "2" + skeleton(surname)))))
+                keys.add("h:" + "|".join(sorted((first, skeleton(surname)))))
                 keys.update(f"h:{first}|{code}" for code in without_one_consonant(surname))
+            if tail := skeleton(given)[1:] if len(given) > 1 else "":  # an error in the first letter of the given name
+                keys.add("t:" + "|".join(sorted((skeleton(surname), tail))))
         return sorted(keys)
     for form in forms:
         keys.add("o:" + "|".join(sorted(skeleton(w) for w in form)))
@@ -314,6 +331,8 @@ def years_agree(a: int | None, b: int | None) -> bool:
 
 
 def same_given(a: str, b: str, words: Words) -> bool:
+    if WHOLE in (a, b):
+        return a == b
     if not a or not b:
         return True
     if len(a) == 1 or len(b) == 1:
@@ -322,27 +341,30 @@ def same_given(a: str, b: str, words: Words) -> bool:
         return True
     if a in words.givens and b in words.givens:
         return False
-    return same_word(a, b) or any(len(x) > 3 and one_error(x, y) for x in formal(a) for y in formal(b) if len(y) > 3)
+    return any(same_word(x, y) for x in formal(a) for y in formal(b))
 
 
 def same_middle(a: list[str], b: list[str]) -> bool:
-    if not a or not b:
-        return True
-    x, y = a[0], b[0]
-    return x[0] == y[0] if len(x) == 1 or len(y) == 1 else same_word(x, y)
+    """Whether further given names, one by one as far as both have them, don't differ; an initial stands for its names."""
+    return all(x[0] == y[0] if len(x) == 1 or len(y) == 1 else same_word(x, y) for x, y in zip(a, b))
+
+
+@lru_cache(maxsize=100_000)
+def parsed(text: str) -> list:
+    return json.loads(text)
 
 
 def agree(a: str, b: str, words: Words) -> bool:
     """Whether two readings may be of one person or body."""
-    x, y = json.loads(a), json.loads(b)
+    x, y = parsed(a), parsed(b)
     if x[0] != y[0] or not years_agree(x[3], y[3]) or not years_agree(x[4], y[4]):
         return False
     if x[0] == "h":
         if not same_middle(x[2], y[2]):
             return False
-        return any(same_word(s, t) and same_given(g, h, words) for s, g in x[1] for t, h in y[1])
+        return any((s == t if g == WHOLE else same_word(s, t)) and same_given(g, h, words) for s, g in x[1] for t, h in y[1])
     if not x[1] or not y[1]:
-        return any(same_word(v, w) for v in x[2] for w in y[2])
+        return any(v == w or (min(len(v), len(w)) >= 6 and same_word(v, w)) for v in x[2] for w in y[2])
     return any(same_words(v, w, words) for v in x[1] for w in y[1])
 
 
@@ -411,9 +433,10 @@ def link_names(df: DataFrame, *, key: str = "person_id", name: str = "name", sor
 
     Rows of kind human or organisation (in any case, with blanks around) take part, each key once; of rows with
     one key and different values the greatest by name, sort_name, birth and death counts. Rows without a key,
-    without a name in either column, or with nothing but an acronym of a body, are in no group; nor are rows
-    that nothing is linked to. Two rows that read the same are linked. An empty table gives no rows. Of further
-    columns nothing is read.
+    without a name in either column, or with nothing but an acronym of a body (up to five capitals), are in no group;
+    nor are rows that nothing is linked to. Two rows that read the same are linked. A person's single word that can't
+    be a handle (under five letters, a known given name, no Latin letters) links only to the same word. An empty
+    table gives no rows. Of further columns nothing is read.
 
     Runs jobs: the words, the readings, the candidates and the groups are written to the checkpoint folder.
     """
@@ -438,7 +461,7 @@ def link_names(df: DataFrame, *, key: str = "person_id", name: str = "name", sor
         for batch in batches:
             texts = batch.column(1).to_pylist()
             lists = [keys_of(t, words) for t in texts]
-            births = [json.loads(t)[3] for t in texts]
+            births = [parsed(t)[3] for t in texts]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(births, pa.int64()), pa.array(lists, pa.list_(pa.string()))], names=["id", "birth", "blocks"])
 
     blocked = spread(readings.select("id", "reading")).mapInArrow(blocks, f"id {key_kind}, birth long, blocks array<string>")
@@ -450,14 +473,15 @@ def link_names(df: DataFrame, *, key: str = "person_id", name: str = "name", sor
     near = F.expr("a.birth is null or b.birth is null or abs(a.birth - b.birth) <= 1")
     small = a.filter(F.col("size") <= LARGE_BLOCK).join(b.filter(F.col("size") <= LARGE_BLOCK), F.expr("a.block = b.block and a.id < b.id") & near)
     pairs = small.select(F.col("a.id").alias("a"), F.col("b.id").alias("b"))
-    # Large blocks: a year meets itself and the next, a reading without year meets all.
-    large = blocked.filter(F.col("size") > LARGE_BLOCK)
-    home = large.select("id", "block", F.col("birth").alias("at"))
-    dated = large.filter("birth is not null").select("id", "block", "birth", F.explode(F.array("birth", F.col("birth") + 1)).alias("at"))
-    dated = dated.select("id", "block", "at", (F.col("at") > F.col("birth")).alias("any"))
-    undated = large.select("id", "block", F.lit(None).cast("long").alias("at"), F.col("birth").isNotNull().alias("any"))
-    looks = dated.union(undated).alias("look")
-    met = home.alias("home").join(looks, F.expr("home.block = look.block and home.at <=> look.at and (look.any or home.id < look.id)"))
+    # Large blocks: a year meets itself and the next, a reading without year meets all. Both the readings at home and those that
+    # come to look are spread over as many tasks as the block's size asks for.
+    large = blocked.filter(F.col("size") > LARGE_BLOCK).withColumn("salts", F.ceil(F.col("size") / SALTED_ROWS).cast("int"))
+    home = large.select("id", "block", F.col("birth").alias("at"), F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"))
+    dated = large.filter("birth is not null").select("id", "block", "birth", "salts", F.explode(F.array("birth", F.col("birth") + 1)).alias("at"))
+    dated = dated.select("id", "block", "salts", "at", (F.col("at") > F.col("birth")).alias("any"))
+    undated = large.select("id", "block", "salts", F.lit(None).cast("long").alias("at"), F.col("birth").isNotNull().alias("any"))
+    looks = dated.union(undated).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).alias("look")
+    met = home.alias("home").join(looks, F.expr("home.block = look.block and home.salt = look.salt and home.at <=> look.at and (look.any or home.id < look.id)"))
     ends = [f("home.id", "look.id") for f in (F.least, F.greatest)]
     pairs = pairs.union(met.select(ends[0].alias("a"), ends[1].alias("b"))).distinct()
 
@@ -483,7 +507,7 @@ def _unambiguous(accepted: DataFrame, words: Words) -> DataFrame:
             out: dict[str, list] = {"id": [], "weak": [], "birth": [], "death": [], "given": [], "middle": []}
             a, b, ra, rb = (c.to_pylist() for c in batch.columns)
             for x, y, own, other in [*zip(a, b, ra, rb), *zip(b, a, rb, ra)]:
-                o, p = json.loads(own), json.loads(other)
+                o, p = parsed(own), parsed(other)
                 one_letter = o[0] == "h" and all(len(g) <= 1 for _, g in o[1])
                 known = sorted({by_sound(f) for _, g in p[1] for f in formal(g) if f in words.givens}) if p[0] == "h" else []
                 out["id"].append(x)
