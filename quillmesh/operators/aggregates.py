@@ -39,22 +39,25 @@ def coverage(df: DataFrame, band: str, level: str, levels: list[str], fields: li
     return df.groupBy(band).agg(F.count("*").alias("n"), *counts)
 
 
-def tree_closure(tree: DataFrame, *, node: str, parent: str, most_levels: int = 64) -> DataFrame:
+def tree_closure(tree: DataFrame, *, node: str, parent: str, most_rounds: int = 32) -> DataFrame:
     """(ancestor, node) for every node and all above it, itself included. A node whose parent is missing is a root.
 
-    One join per level; a tree deeper than ``most_levels``, or a circle, raises.
+    Each round doubles the steps that are known, so their number is the logarithm of the tree's depth; a circle raises.
     """
-    tree = cut_lineage(tree.select(node, parent))
-    known = tree.select(F.col(node).alias("_n"))
-    up = cut_lineage(tree.join(known.withColumnRenamed("_n", parent), parent).select(F.col(node).alias("ancestor"), F.col(parent).alias("_up")))
-    level = tree.select(F.col(node).alias("ancestor"), F.col(node).alias("node"))
-    closure = level
-    for _ in range(most_levels):
-        level = cut_lineage(level.join(up, "ancestor").select(F.col("_up").alias("ancestor"), "node"))
-        if level.isEmpty():
+    tree = tree.select(F.col(node).alias("_n"), F.col(parent).alias("_p"))
+    jump = cut_lineage(tree.join(tree.select(F.col("_n").alias("_p")), "_p", "left_semi").select(F.col("_n").alias("ancestor"), F.col("_p").alias("_up")))
+    nodes = closure = tree.select(F.col("_n").alias("ancestor"), F.col("_n").alias("node"))
+    count = None
+    for done in range(most_rounds):
+        if jump.isEmpty():
             return closure
-        closure = closure.union(level)
-    raise ValueError("the tree is deeper than most_levels, or goes in a circle")
+        count = nodes.count() if count is None and done > 4 else count
+        if count is not None and 2**done > count:
+            break
+        closure = cut_lineage(closure.union(closure.join(jump, "ancestor").select(F.col("_up").alias("ancestor"), "node")))
+        further = jump.select(F.col("ancestor").alias("_up"), F.col("_up").alias("_further"))
+        jump = cut_lineage(jump.join(further, "_up").select("ancestor", F.col("_further").alias("_up")))
+    raise ValueError("the tree goes in a circle")
 
 
 def rolled_up(tree: DataFrame, values: DataFrame, *, node: str, parent: str, value: str) -> DataFrame:

@@ -53,16 +53,18 @@ def claims(people: DataFrame, identifiers: DataFrame | None, *, person: str, nam
     return all_claims.groupBy("person_a", "person_b").agg(best).select("person_a", "person_b", "m.method", "m.confidence")
 
 
-def merged_targets(people: DataFrame, *, person: str, target: str, most_steps: int = 64) -> DataFrame:
-    """(person, final) of merged people: chains followed to their end. A circle raises."""
+def merged_targets(people: DataFrame, *, person: str, target: str, most_rounds: int = 32) -> DataFrame:
+    """(person, final) of merged people: chains followed to their end, each round doubling the steps taken. A circle raises."""
     moves = people.filter(F.col(target).isNotNull()).select(F.col(person).alias("person"), F.col(target).alias("final")).distinct()
-    step = moves.select(F.col("person").alias("final"), F.col("final").alias("_next"))
-    out = moves
-    for _ in range(most_steps):
+    out = cut_lineage(moves)
+    for done in range(most_rounds):
+        step = out.select(F.col("person").alias("final"), F.col("final").alias("_next"))
         if out.join(step, "final", "left_semi").isEmpty():
             return out
-        out = out.join(step, "final", "left").select("person", F.coalesce("_next", "final").alias("final"))
-    raise ValueError("merges go in a circle, or are longer than most_steps")
+        if not out.filter("person = final").isEmpty() or (done > 4 and 2 ** (done - 1) > moves.count()):
+            break
+        out = cut_lineage(out.join(step, "final", "left").select("person", F.coalesce("_next", "final").alias("final")))
+    raise ValueError("merges go in a circle, or in chains of more than 2 ** most_rounds")
 
 
 def layers(people: DataFrame, edges: DataFrame, *, person: str, state: str, domain: str) -> DataFrame:

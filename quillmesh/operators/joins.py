@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillmesh.operators.ranking import sums_before
+
 
 def enrich(edges: DataFrame, source: DataFrame, keys: list[str], payload: list[str]) -> tuple[DataFrame, DataFrame]:
     """``edges`` with the payload of ``source``, and how many edges had one. Rows of the source without edge create none;
@@ -37,6 +39,27 @@ def interval_overlap(left: DataFrame, right: DataFrame, keys: list[str], *, star
     return pairs.filter(overlap & (F.col("_bucket") == F.floor(begin / width))).drop(*on)
 
 
+def overlap_totals(df: DataFrame, keys: list[str], *, start: str, end: str) -> DataFrame:
+    """Per key how many pairs of its intervals [start, end) overlap, and how much in all: (keys, pairs, overlap).
+
+    Counted by a sweep over starts and ends, not by making the pairs: a start meets the intervals that are open, and while n are
+    open the overlaps grow by n (n - 1) / 2. Whole numbers; null or empty intervals overlap nothing. A key may have any number.
+    """
+    whole = "decimal(38,0)"
+    spans = df.filter(F.col(start) < F.col(end))
+    ends = F.explode(F.array(F.struct(F.col(start).cast("long").alias("at"), F.lit(1).alias("opened"), F.lit(0).alias("closed")), F.struct(F.col(end).cast("long").alias("at"), F.lit(0).alias("opened"), F.lit(1).alias("closed"))))
+    moments = spans.select(*keys, ends.alias("e")).groupBy(*keys, F.col("e.at").alias("at")).agg(F.sum("e.opened").alias("opened"), F.sum("e.closed").alias("closed"))
+    swept = sums_before(moments, keys, "at", ["opened", "closed"])
+    before = F.col("before_opened") - F.col("before_closed")
+    left = before - F.col("closed")  # an interval that ends here doesn't meet one that starts here
+    after = left + F.col("opened")
+    pairs = left.cast(whole) * F.col("opened") + (F.col("opened").cast(whole) * (F.col("opened") - 1) / 2).cast(whole)
+    open_pairs = [(n.cast(whole) * (n - 1) / 2).cast(whole) for n in (before, after)]
+    lengths = F.col("at").cast(whole) * (open_pairs[0] - open_pairs[1])
+    out = swept.groupBy(*keys).agg(F.sum(pairs).cast("long").alias("pairs"), F.sum(lengths).cast("long").alias("overlap"))
+    return out.filter("pairs > 0")
+
+
 def latest_before(left: DataFrame, right: DataFrame, keys: list[str], *, at: str, values: list[str], tie: str) -> DataFrame:
     """``left`` with the ``values`` of the last row of ``right`` with equal keys and a moment not after its own (as-of join).
 
@@ -94,6 +117,24 @@ def first_of_paths(paths: list[DataFrame], keys: list[str]) -> DataFrame:
     return united.withColumn("_place", F.row_number().over(w)).filter("_place = 1").drop("_place")
 
 
+def or_else(found: DataFrame, otherwise: DataFrame) -> DataFrame:
+    """``found``, or ``otherwise`` if it has no rows. Decided by one row that is looked for, when this is called."""
+    return otherwise if found.isEmpty() else found
+
+
+def by_number(left: DataFrame, right: DataFrame, *, text: str, number: str) -> DataFrame:
+    """Rows whose text is the number of the other side; text that isn't one meets nothing."""
+    numbered = left.withColumn("_number", F.col(text).try_cast("bigint")).filter("_number is not null")
+    return numbered.join(right, numbered["_number"] == right[number]).drop("_number")
+
+
+def still_to_do(candidates: DataFrame, attempts: DataFrame, key: str, *, final: list[str], retry: str, most_attempts: int) -> DataFrame:
+    """Candidates without an attempt that is final, or that failed ``most_attempts`` times. The attempts are cut down to those
+    first, so that the anti join has a plain key."""
+    closed = attempts.filter(F.col("status").isin(*final) | ((F.col("status") == retry) & (F.col("attempt_count") >= most_attempts)))
+    return candidates.join(closed.select(key).distinct(), key, "left_anti")
+
+
 def named_beside(entries: DataFrame, target: str, *, basket: list[str], item: str, list_column: str, least: int = 2) -> DataFrame:
     """Items filed with ``target`` in the same list and section of at least ``least`` lists, that aren't lists themselves."""
     mine = entries.filter(F.col(item) == target).select(*basket).distinct()

@@ -6,20 +6,38 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillmesh.storage import cut_lineage
+from quillmesh.storage import broadcast_if_small, cut_lineage
+
+
+def sums_before(df: DataFrame, within: list[str], order: str, values: list[str], *, prefix: str = "before_") -> DataFrame:
+    """``df`` with, for each of ``values``, its sum over the rows of the group that come before by ``order`` (unique in a group).
+
+    Groups may be of any size: rows are put into ranges of (group, order), summed per range, and each range is run through on
+    its own, starting from the sums of its group's ranges before. Writes the ranges to the checkpoint folder.
+    """
+    ranged = cut_lineage(df.repartitionByRange(*within, order).withColumn("_range", F.spark_partition_id()))
+    sums = ranged.groupBy(*within, "_range").agg(*[F.sum(v).alias(v) for v in values])
+    earlier = Window.partitionBy(*within).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # as many rows as there are ranges
+    base = sums.select(*[F.col(c).alias(f"_g_{c}") for c in within], F.col("_range").alias("_g_range"), *[F.coalesce(F.sum(v).over(earlier), F.lit(0)).alias(f"_b_{v}") for v in values])
+    on = ranged["_range"] == base["_g_range"]
+    for c in within:
+        on = on & ranged[c].eqNullSafe(base[f"_g_{c}"])
+    joined = ranged.join(broadcast_if_small(base), on)
+    inner = Window.partitionBy(*within, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return joined.select(*df.columns, *[(F.col(f"_b_{v}") + F.coalesce(F.sum(v).over(inner), F.lit(0))).alias(f"{prefix}{v}") for v in values])
 
 
 def tie_midpoint_percentile(df: DataFrame, within: list[str], score: str, *, name: str = "percentile") -> DataFrame:
     """0 to 100 within a group; equal scores share the middle of their places, a single row has 50. Null counts as 0.
 
-    From counts per distinct score, so that a group with many ties sends few rows; the places are a running sum of
-    these counts.
+    From counts per distinct score, so that a group with many ties sends few rows; the places are running sums of
+    these counts, taken in ranges, so that a group may be of any size.
     """
     value = F.coalesce(F.col(score), F.lit(0)).cast("double") + F.lit(0.0)
     scored = df.withColumn("_s", value)
     counts = scored.groupBy(*within, "_s").agg(F.count("*").alias("_ties"))
-    before = Window.partitionBy(*within).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("_below", F.coalesce(F.sum("_ties").over(before), F.lit(0))).withColumn("_n", F.sum("_ties").over(Window.partitionBy(*within)))
+    counts = sums_before(counts, within, "_s", ["_ties"])
+    counts = counts.withColumnRenamed("before__ties", "_below").withColumn("_n", F.max(F.col("_below") + F.col("_ties")).over(Window.partitionBy(*within)))
     middle = (F.col("_below") + (F.col("_ties") - 1) / 2.0) / (F.col("_n") - 1) * 100.0
     counts = counts.select(*[F.col(c).alias(f"_k_{c}") for c in within], F.col("_s").alias("_k_s"), F.when(F.col("_n") > 1, middle).otherwise(50.0).alias(name))
     on = scored["_s"] == counts["_k_s"]

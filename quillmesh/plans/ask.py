@@ -16,6 +16,8 @@ from quillmesh.operators.ranking import top_per_group
 def who(people: DataFrame, edges: DataFrame, topics: DataFrame, name: str, *, limit: int = 8, most_topics: int = 6) -> DataFrame:
     """People whose name has ``name`` in it (any case), best attested first, with edges per domain and their strongest topics."""
     found = people.filter(F.col("name").ilike(f"%{name}%")).select("person_id", "name", life_span(F.col("birth_year"), F.col("death_year")).alias("lived"), "kind", "origin")
+    ids = found.select("person_id").distinct()  # edges and topics of the others are dropped before anything is counted
+    edges, topics = edges.join(ids, "person_id", "left_semi"), topics.join(ids, "person_id", "left_semi")
     per_domain = edges.groupBy("person_id", "domain").agg(F.count("*").alias("n"))
     produced = per_domain.groupBy("person_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("domain", "n")))).alias("produced"), F.sum("n").alias("evidence"))
     strongest = top_per_group(topics, ["person_id"], [F.desc("weight"), F.col("topic")], most_topics)

@@ -9,7 +9,6 @@ from pyspark.sql import SparkSession
 #: Settings that results depend on. ANSI stays on: operators use try_* where input may be bad.
 RESULT_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
 }
 
 #: Settings that only change speed.

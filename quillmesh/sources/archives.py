@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import fnmatch
 import gzip
 import hashlib
 import json
 import re
 import tarfile
 from collections.abc import Iterator
-from pathlib import Path
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -47,7 +48,7 @@ def read_json_stream(spark: SparkSession, path: str, schema: str) -> DataFrame:
 class TarSource(DataSource):
     """``spark.read.format("tar_texts").load(glob)``: member, doc_id, offset, bytes, text of the text files in tar archives.
 
-    One task per archive, read as a stream; members that end in .gz are unpacked. Option "pattern" is the expression whose
+    One task per archive, read as a stream from any file system that pyarrow knows; members that end in .gz are unpacked. Option "pattern" is the expression whose
     first group is the number of a document.
     """
 
@@ -67,12 +68,16 @@ class TarReader(DataSourceReader):
         self.options = options
 
     def partitions(self) -> list[InputPartition]:
-        path = Path(self.options["path"])
-        return [InputPartition(str(p)) for p in sorted(path.parent.glob(path.name))]
+        system, pattern = fs.FileSystem.from_uri(self.options["path"])
+        folder = pattern.rpartition("/")[0]
+        found = system.get_file_info(fs.FileSelector(folder)) if folder else []
+        paths = sorted(f.path for f in found if f.is_file and fnmatch.fnmatch(f.path, pattern))
+        return [InputPartition(p) for p in paths]
 
     def read(self, partition: InputPartition):
         pattern = re.compile(self.options.get("pattern", r"(?:^|/)(?:pg)?(\d+)(?:-\d+)?\.txt(?:\.gz)?$"), re.IGNORECASE)
-        with tarfile.open(partition.value, "r:*") as archive:
+        system, _ = fs.FileSystem.from_uri(self.options["path"])
+        with system.open_input_stream(partition.value) as stream, tarfile.open(fileobj=stream, mode="r|*") as archive:
             for member in archive:
                 found = pattern.search(member.name)
                 if member.isfile() and found:

@@ -110,3 +110,24 @@ def test_ratios(spark):
     assert [r[0] for r in df.select(sequence_ratio("a", "b")).collect()] == [0.75, 1.0]
     df = spark.createDataFrame([("vector search", "search", "search of vector things")], "t string, n string, w string")
     assert df.select(topic_match("t", "n", "w")).first()[0] == pytest.approx(0.5 * 12 / 19 + 0.5)
+
+
+def test_authors_in_every_form():
+    from quillmesh.functions.authors import author_parts
+
+    def years(text):
+        a = author_parts(text)
+        return a["name"], a["birth"], a["death"], a["role"], a["corporate"]
+
+    assert years("Twain, Mark, 1835-1910") == ("Twain, Mark", 1835, 1910, "author", 0)
+    assert years("Plato, 428? BCE-348? BCE") == ("Plato", -428, -348, "author", 0)
+    assert years("Plato, 428 B.C-348 B.C") == ("Plato", -428, -348, "author", 0)
+    assert years("Homer, ca. 750 B.C. - [Translator]") == ("Homer", -750, None, "translator", 0)
+    assert years("Aesop, 620 BCE-564") == ("Aesop", -620, -564, "author", 0)
+    assert years("Doe, Jane, b. 1901") == ("Doe, Jane", 1901, None, "author", 0)
+    assert years("Doe, Jane, d. 1999? [Editor]") == ("Doe, Jane", None, 1999, "editor", 0)
+    assert years("Doe, Jane, ca. 1750-") == ("Doe, Jane", 1750, None, "author", 0)
+    assert years("Doe, Jane, 12-15") == ("Doe, Jane, 12-15", None, None, "author", 0)
+    assert years("United States") == ("United States", None, None, "author", 1)
+    assert years("Various") == ("Various", None, None, "author", 1)
+    assert author_parts("  ") is None and author_parts(None) is None and author_parts("[Editor]") is None

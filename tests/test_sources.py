@@ -1,6 +1,7 @@
 import gzip
 import io
 import json
+import os
 import tarfile
 
 from pyspark.sql import functions as F
@@ -84,3 +85,22 @@ def test_incremental_runs(spark, tmp_path):
     assert run() == [(1, "b"), (2, "c")]  # nothing new
     write(folder, "b.json", '{"k": 2, "v": "d"}\n{"k": 3, "v": "e"}\n')
     assert run() == [(1, "b"), (2, "d"), (3, "e")]
+    parts = {p.parent.name: p for p in (tmp_path / "table").glob("version-*/_part=*")}
+    assert len(parts) == 2 and len(list((tmp_path / "table").glob("version-1/_part=*"))) <= 2  # only what it touched
+    (tmp_path / "table" / "version-2").mkdir()  # a batch that isn't finished isn't seen
+    assert run() == [(1, "b"), (2, "d"), (3, "e")]
+    os.remove(tmp_path / "table" / "_versions" / "1.json")  # before the second batch was finished there was the first
+    assert sorted(tuple(r) for r in incremental.current(spark, target).collect()) == [(1, "b"), (2, "c")]
+
+
+def test_windowed_counts_of_a_stream_and_of_a_table(spark, tmp_path):
+    folder = tmp_path / "events"
+    folder.mkdir()
+    write(folder, "a.json", '{"at": "2024-01-01T00:10:00Z", "kind": "x"}\n{"at": "2024-01-01T00:50:00Z", "kind": "x"}\n{"at": "2024-01-01T01:10:00Z", "kind": "y"}\n')
+    expected = [(0, "x", 2), (1, "y", 1)]
+    rows = spark.read.schema("at timestamp, kind string").json(str(folder))
+    assert sorted((r["start"].hour, r["kind"], r["n"]) for r in incremental.windowed_counts(rows, at="at", kind="kind").collect()) == expected
+    stream = spark.readStream.schema("at timestamp, kind string").json(str(folder))
+    counted = incremental.windowed_counts(stream, at="at", kind="kind")
+    counted.writeStream.format("memory").queryName("windowed").outputMode("complete").trigger(availableNow=True).start().awaitTermination()
+    assert sorted((r["start"].hour, r["kind"], r["n"]) for r in spark.table("windowed").collect()) == expected

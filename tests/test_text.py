@@ -63,9 +63,12 @@ https://github.com/topics/x https://github.com/d/four.
 def test_entries_under_headings(spark):
     got = [tuple(e.values()) for e in lists.entries_of(README)]
     assert got == [
-        (0, "a/top", None, None, None), (1, "a/one", "Tools 2", "Tools 2", "First tool. https://github.com/a/one"),
-        (2, "b/two", "Deep down", "Tools 2 > Deep down", "Second"), (3, "d/four", "Other", "Other", None),
+        (0, "a/top", None, None, None), (1, "A/One", "Tools 2", "Tools 2", "First tool. https://github.com/a/one"),
+        (2, "a/one", "Tools 2", "Tools 2", "First tool. https://github.com/a/one"), (3, "b/two", "Deep down", "Tools 2 > Deep down", "Second"), (4, "d/four", "Other", "Other", None),
     ]
+    assert lists.title_of(README) == "Awesome X" and lists.title_of("<h1 align=x>A <b>B</b>\n C</h1>\n# D") == "A B C" and lists.title_of("no title") is None
+    assert lists.shown("[![badge](x.svg)](y) ## [Foo](#foo) &amp; <kbd>4</kbd> bar") == "Foo 4 bar"
+    assert [lists.repository("o", n) for n in ("x.git.", "x.git", "x.", ".")] == ["o/x", "o/x", "o/x", None] and lists.repository("user-attachments", "assets") is None
     df = spark.createDataFrame([(1, README), (2, "# My stars\n" + README), (3, None)], "id long, text string")
     entries = lists.list_entries(df, key="id", text="text")
     verdicts = lists.list_verdicts(df, entries, key="id", text="text", languages=["Go"], min_links=3)
