@@ -48,7 +48,7 @@ def read_log_markdown(spark: SparkSession, path: str) -> DataFrame:
     """Sections that begin with ``###``: the first link, and the first line below the heading that isn't one."""
     text = spark.read.text(path, wholetext=True).select(F.explode(F.split("value", r"\n(?=### )")).alias("s")).filter(F.col("s").startswith("### "))
     heading = F.trim(F.regexp_extract("s", r"^### ([^\n]*)", 1))
-    description = F.regexp_extract("s", r"^[^\n]*\n(?:\s*\n|[^\n]*https?://[^\n]*\n)*([^\n]+)", 1)
+    description = F.regexp_extract("s", r"^[^\n]*\n(?:\s*\n|[^\n]*https?://[^\n]*\n)*+([^\n]+)", 1)
     link = F.regexp_extract("s", f"({LINK})", 1)
     return _projected(text, url=F.when(link != "", link), full_name=heading, description=F.when(description != "", F.trim(description)))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -30,6 +32,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not context.master.startswith("local[") and context.master != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="quillmesh-checkpoint-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
     context.setCheckpointDir(named)
     return named
 
@@ -49,6 +52,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return written
 
 
+def scratch(spark: SparkSession) -> str:
+    """A name for a folder of files in the shared checkpoint folder, which ``drop_tables`` of its session deletes."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/files-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, set()).add(path)
+    return path
+
+
 def drop_table(df: DataFrame) -> None:
     """Deletes what ``cut_lineage`` wrote for ``df``, once nothing reads it any more."""
     path = getattr(df, "_quillmesh_path", None)

@@ -5,7 +5,7 @@ from collections import Counter
 
 import pytest
 
-from quillmesh.plans import queries  # noqa: F401 - fills the registry
+from quillmesh.plans import every  # noqa: F401 - fills the registry
 from quillmesh.plans.registry import ORACLE_SQL, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
