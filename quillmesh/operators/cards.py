@@ -202,17 +202,17 @@ def install_line(digest: Column, full_name: Column) -> Column:
 
 def resolved_slugs(rows: DataFrame, slug: str, registry: DataFrame) -> DataFrame:
     """``rows`` with the registry's id of their slug: the slug itself, else the slug of a name, else the only slug that is part of it
-    or ends as it does; null where none or several fit. ``registry`` (id, slug, name) is a taxonomy of bounded size."""
+    or ends with it; null where none or several fit. ``registry`` (id, slug, name) is a taxonomy of bounded size."""
     wanted = rows.select(F.lower(F.trim(slug)).alias("_w")).filter("_w <> ''").distinct()
     known = registry.filter("slug <> ''").select(F.col("id").alias("_id"), F.lower("slug").alias("_s"), F.regexp_replace(F.regexp_replace(F.lower("name"), "[^a-z0-9]+", "-"), "^-+|-+$", "").alias("_n"))
     exact = wanted.join(known, F.col("_w") == F.col("_s")).groupBy("_w").agg(F.min("_id").alias("_id"))
     named = wanted.join(known, F.col("_w") == F.col("_n")).groupBy("_w").agg(F.min("_id").alias("_id"))
     left = wanted.join(exact.select("_w"), "_w", "left_anti").join(named.select("_w"), "_w", "left_anti")
-    # Parts of a slug between its dashes are few: they meet the registry by equality, not by a search in every pair.
-    words = F.split("_w", "-")
-    parts = F.flatten(F.transform(F.sequence(F.lit(1), F.size(words)), lambda i: F.transform(F.sequence(F.lit(1), F.size(words) - i + 1), lambda n: F.array_join(F.slice(words, i, n), "-"))))
-    inside = left.withColumn("_s", F.explode(parts)).join(known, "_s").select("_w", "_s", "_id")
-    tails = known.withColumn("_w", F.explode(F.transform(F.sequence(F.lit(1), F.size(F.split("_s", "-"))), lambda i: F.array_join(F.slice(F.split("_s", "-"), i, 1 << 20), "-"))))
+    # All parts of a slug, some hundreds at most, meet the registry by equality, not by a search in every pair.
+    n = F.length("_w")
+    parts = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(F.sequence(F.lit(1), n - i + 1), lambda k: F.substring(F.col("_w"), i, k))))
+    inside = left.withColumn("_s", F.explode(F.array_distinct(parts))).join(known, "_s").select("_w", "_s", "_id")
+    tails = known.withColumn("_w", F.explode(F.transform(F.sequence(F.lit(1), F.length("_s")), lambda i: F.substring(F.col("_s"), i, F.length("_s")))))
     longer = left.join(tails, "_w").select("_w", "_s", "_id")
     fitting = inside.union(longer).groupBy("_w").agg(F.count_distinct("_s").alias("_k"), F.min("_id").alias("_id")).filter("_k = 1").drop("_k")
     found = exact.union(named.join(exact.select("_w"), "_w", "left_anti")).union(fitting).select("_w", F.col("_id").alias("category_id"))

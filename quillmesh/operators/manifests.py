@@ -69,19 +69,24 @@ def pyproject(text: str) -> dict:
     )
 
 
+#: A list of quoted strings, which may hold brackets and the other quote; and such a string.
+QUOTED_LIST = r"\[((?:[^\]'\"]|'[^']*'|\"[^\"]*\")*)\]"
+QUOTED = re.compile(r"'([^']+)'|\"([^\"]+)\"")
+
+
 def setup_py(text: str) -> dict:
     def value(key: str) -> str:
         found = re.search(rf"\b{key}\s*=\s*['\"]([^'\"]+)['\"]", text)
         return found.group(1) if found else ""
 
-    def strings(pattern: str) -> list[str]:
-        found = re.search(pattern, text, re.DOTALL)
-        return re.findall(r"['\"]([^'\"]+)['\"]", found.group(1)) if found else []
+    def strings(before: str) -> list[str]:
+        found = re.search(before + QUOTED_LIST, text)
+        return [one or two for one, two in QUOTED.findall(found.group(1))] if found else []
 
     name = value("name")
-    scripts = [s.partition("=")[0].strip() for s in strings(r"console_scripts['\"]\s*:\s*\[(.*?)\]")]
+    scripts = [s.partition("=")[0].strip() for s in strings(r"console_scripts['\"]\s*:\s*")]
     return _filled(
-        "python", pkg_name=name, bin=scripts, public_names=strings(r"__all__\s*=\s*\[(.*?)\]") or ([name] if name else []), runtime=_names(strings(r"install_requires\s*=\s*\[(.*?)\]")),
+        "python", pkg_name=name, bin=scripts, public_names=strings(r"__all__\s*=\s*") or ([name] if name else []), runtime=_names(strings(r"install_requires\s*=\s*")),
         requires_python=value("python_requires"), install=f"pip install {name}" if name else "",
     )
 

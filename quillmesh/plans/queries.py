@@ -9,7 +9,7 @@ from quillmesh.functions import jsonx, numbers, strings, urls
 from quillmesh.functions.authors import parsed_author
 from quillmesh.functions.dates import moment
 from quillmesh.functions.fuzzy import sequence_ratio
-from quillmesh.operators import aggregates, graph, joins, keywords, lists, passages, policies, quality, ranking, sets
+from quillmesh.operators import aggregates, graph, joins, keywords, passages, policies, quality, ranking, sets
 from quillmesh.plans import ask
 from quillmesh.plans.registry import query
 from quillmesh.tables import table
@@ -628,20 +628,6 @@ def passage_summary(spark: SparkSession, folder: str) -> DataFrame:
     return rows.groupBy(F.col("key").alias("doc_id")).agg(F.count("*").alias("passages"), F.sum("words").alias("words"), F.sum("chars").alias("chars"), first.alias("first_heading"))
 
 
-@query("document_links")
-def document_links(spark: SparkSession, folder: str) -> DataFrame:
-    """Links of every document under their headings."""
-    return lists.list_entries(table(spark, folder, "documents"), key="doc_id", text="text")
-
-
-@query("document_verdicts")
-def document_verdicts(spark: SparkSession, folder: str) -> DataFrame:
-    """Which documents are curated lists."""
-    docs = table(spark, folder, "documents")
-    entries = lists.list_entries(docs, key="doc_id", text="text")
-    return lists.list_verdicts(docs, entries, key="doc_id", text="text", languages=["Go", "Java", "Python", "Rust"], min_links=5)
-
-
 @query("offsets", """
 SELECT doc_id, sha256(coalesce(text, '')) AS sha256, length(coalesce(text, '')) AS chars, strlen(coalesce(text, '')) AS bytes, n_chars IS NOT DISTINCT FROM length(text) AS counted FROM documents""")
 def offsets(spark: SparkSession, folder: str) -> DataFrame:
