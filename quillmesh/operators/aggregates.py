@@ -109,3 +109,9 @@ def breadth(df: DataFrame, key: str, kinds: dict[str, Column]) -> DataFrame:
     flags = df.groupBy(key).agg(*[F.max(F.coalesce(c, F.lit(False))).alias(k) for k, c in kinds.items()])
     total = sum((F.col(k).cast("int") for k in kinds), F.lit(0))
     return flags.select(key, total.alias("breadth"))
+
+
+def graded(df: DataFrame, keys: list[str], value: str, grades: dict[str, str], lowest: str) -> DataFrame:
+    """Per key all its values, sorted, each once, and the best grade of them ({value: grade}, first letters of the alphabet best)."""
+    table = F.create_map(*[F.lit(x) for pair in grades.items() for x in pair])
+    return df.groupBy(*keys).agg(F.array_sort(F.collect_set(value)).alias("values"), F.min(F.coalesce(table[F.col(value)], F.lit(lowest))).alias("grade"))

@@ -1,3 +1,3 @@
 """All queries: importing this module fills the registry."""
 
-from quillmesh.plans import card_queries, queries, source_queries  # noqa: F401
+from quillmesh.plans import card_queries, function_queries, people_queries, queries, source_queries  # noqa: F401

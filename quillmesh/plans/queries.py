@@ -15,6 +15,10 @@ from quillmesh.plans.registry import query
 from quillmesh.tables import table
 
 AS_OF = "2026-06-30"
+TABLES = (
+    "bank_capability_pick", "category", "curated_list", "customer", "documents", "embeddings", "entry", "events", "identity_claim", "lineitem", "mix_target", "nation", "orders", "part", "person", "region", "repo_observation",
+    "source_trust", "supplier",
+)
 
 # Parameters of the routing queries: families and their terms with weights.
 FAMILIES = {
@@ -139,11 +143,15 @@ def best_observation(spark: SparkSession, folder: str) -> DataFrame:
     return best.select("canonical_id", "obs_id", "field_score")
 
 
-@query("packed_assets")
+@query("packed_assets", """
+WITH RECURSIVE d AS (SELECT coalesce(source, '') AS source, doc_id, strlen(coalesce(text, '')) AS size, row_number() OVER (PARTITION BY coalesce(source, '') ORDER BY doc_id) AS i FROM documents),
+r AS (SELECT source, doc_id, i, size, 0 AS asset, 0::BIGINT AS place FROM d WHERE i = 1 UNION ALL SELECT d.source, d.doc_id, d.i, d.size, CASE WHEN r.place + r.size > 0 AND r.place + r.size + d.size > 65536 THEN r.asset + 1 ELSE r.asset END,
+    CASE WHEN r.place + r.size > 0 AND r.place + r.size + d.size > 65536 THEN 0 ELSE r.place + r.size END FROM r JOIN d ON d.source = r.source AND d.i = r.i + 1)
+SELECT source, doc_id, asset, place FROM r""")
 def packed_assets(spark: SparkSession, folder: str) -> DataFrame:
     """Documents of each source packed in order into assets of at most 64 KB: greedy, so sequential within a source."""
     docs = table(spark, folder, "documents").select(F.coalesce("source", F.lit("")).alias("source"), "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("size"))
-    return ranking.packed_in_order(docs, ["source"], [F.col("doc_id")], "size", 65_536)
+    return ranking.packed_in_order(docs, ["source"], [F.col("doc_id")], "size", 65_536).select("source", "doc_id", "asset", F.col("offset").alias("place"))
 
 
 # --- write policies -----------------------------------------------------------------------------------------------
@@ -164,10 +172,14 @@ def keep_first(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("keep_last", f"""
-WITH o AS ({_CARDS}) SELECT normalized_url, obs_id, stars FROM (SELECT *, row_number() OVER (PARTITION BY normalized_url ORDER BY obs_id DESC) AS p FROM o) WHERE p = 1""")
+WITH o AS ({_CARDS}), n AS (SELECT normalized_url, obs_id, stars FROM (SELECT *, row_number() OVER (PARTITION BY normalized_url ORDER BY obs_id DESC) AS p FROM o WHERE obs_id % 2 = 0) WHERE p = 1),
+old AS (SELECT normalized_url, obs_id, stars FROM (SELECT *, row_number() OVER (PARTITION BY normalized_url ORDER BY obs_id DESC) AS p FROM o WHERE obs_id % 2 = 1) WHERE p = 1)
+SELECT * FROM n UNION ALL SELECT * FROM old WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.normalized_url = old.normalized_url)""")
 def keep_last(spark: SparkSession, folder: str) -> DataFrame:
+    """The even sightings merged into a table of the odd ones: what is new replaces, what has no successor stays."""
     rows = table(spark, folder, "repo_observation").select("source", "normalized_url", "obs_id", "stars").distinct()
-    merged = policies.keep_last(rows.limit(0), rows, ["normalized_url"], [F.desc("obs_id")])
+    old = policies.one_per_key(rows.filter("obs_id % 2 = 1"), ["normalized_url"], [F.desc("obs_id")])
+    merged = policies.keep_last(old, rows.filter("obs_id % 2 = 0"), ["normalized_url"], [F.desc("obs_id")])
     return merged.select("normalized_url", "obs_id", "stars")
 
 
@@ -184,13 +196,18 @@ def fill_nulls(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("merged_meta", """
-WITH f AS (SELECT user_id, arg_min(props, event_id) AS a, arg_max(props, event_id) AS b, arg_max(event_type, event_id) AS t FROM events GROUP BY 1)
-SELECT user_id, coalesce(b->>'$.k', a->>'$.k')::BIGINT AS k, t AS last_type FROM f""")
+WITH e AS (SELECT user_id, event_id, CASE WHEN event_id % 3 = 0 THEN NULL ELSE (props->>'$.k')::BIGINT END AS k, 't' || event_id % 4 AS name, event_id AS v FROM events)
+SELECT user_id, arg_max(k, event_id) AS k, max(v) FILTER (WHERE name = 't0') AS t0, max(v) FILTER (WHERE name = 't3') AS t3, min(v) AS first FROM e GROUP BY 1""")
 def merged_meta(spark: SparkSession, folder: str) -> DataFrame:
-    """JSON objects merged key by key, later values winning."""
-    per = table(spark, folder, "events").groupBy("user_id").agg(F.min_by("props", "event_id").alias("a"), F.max_by("props", "event_id").alias("b"), F.max_by("event_type", "event_id").alias("t"))
-    meta = jsonx.merged(jsonx.merged(F.col("a"), F.col("b")), F.to_json(F.struct(F.col("t").alias("last_type"))))
-    return per.select("user_id", F.get_json_object(meta, "$.k").cast("bigint").alias("k"), F.get_json_object(meta, "$.last_type").alias("last_type"))
+    """JSON objects of all events merged key by key, later values winning unless null."""
+    events = table(spark, folder, "events").select("user_id", "event_id", F.get_json_object("props", "$.k").cast("bigint").alias("k"))
+    name = F.concat(F.lit("t"), (F.col("event_id") % 4).cast("string"))
+    entries = F.filter(F.array(F.struct(F.lit("k").alias("key"), F.when(F.col("event_id") % 3 != 0, F.col("k")).alias("value")), F.struct(name.alias("key"), F.col("event_id").alias("value"))), lambda x: x["value"].isNotNull())
+    last = events.select("user_id", "event_id", F.explode(entries).alias("e")).groupBy("user_id", "e.key").agg(F.max_by("e.value", "event_id").alias("value"))
+    objects = last.groupBy("user_id").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("key", "value")))).alias("new"))
+    old = events.groupBy("user_id").agg(F.to_json(F.struct(F.min("event_id").alias("first"), F.lit(-1).alias("k"), F.lit("x").alias("t0"))).alias("old"))
+    meta = old.join(objects, "user_id").select("user_id", jsonx.merged(F.col("old"), F.col("new")).alias("meta"))
+    return meta.select("user_id", *[F.get_json_object("meta", f"$.{c}").try_cast("bigint").alias(c) for c in ("k", "t0", "t3", "first")])
 
 
 @query("moved_links", """
@@ -294,12 +311,16 @@ def life_spans(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("person_id", numbers.life_span(F.col("birth_year"), F.col("death_year")).alias("lived"))
 
 
-@query("authors")
+@query("authors", r"""
+WITH p AS (SELECT DISTINCT trim(sort_name) AS s, birth_year AS b, death_year AS d FROM person WHERE trim(sort_name) <> '' AND NOT contains(sort_name, '[')), n AS (SELECT *, trim(trim(s, ',')) AS name, b > 99 AND (d IS NULL OR d > 99) AS dated FROM p)
+SELECT s AS raw, name, CASE WHEN dated THEN b END AS birth, CASE WHEN dated THEN d END AS death, 'editor' AS role, (lower(name) IN ('anonymous', 'unknown', 'various') OR (NOT contains(name, ',') AND NOT coalesce(dated, false)))::INTEGER AS corporate FROM n WHERE name <> ''""")
 def authors(spark: SparkSession, folder: str) -> DataFrame:
     """Catalogue strings of people read into name, years, role and kind (a Python function over Arrow batches)."""
-    rows = table(spark, folder, "person").select(F.col("sort_name").alias("raw"), "birth_year", "death_year").filter("raw is not null").distinct()
-    text = F.concat_ws(", ", "raw", F.concat(F.coalesce(F.col("birth_year").cast("string"), F.lit("")), F.lit("-"), F.coalesce(F.col("death_year").cast("string"), F.lit(""))))
-    return rows.withColumn("a", parsed_author(F.when(F.col("birth_year").isNotNull(), text).otherwise(F.col("raw")))).select("raw", "a.*")
+    rows = table(spark, folder, "person").filter("trim(sort_name) <> '' and instr(sort_name, '[') = 0").select(F.trim("sort_name").alias("raw"), "birth_year", "death_year").distinct()
+    years = F.concat(F.col("birth_year").cast("string"), F.lit("-"), F.coalesce(F.col("death_year").cast("string"), F.lit("")))
+    dated = (F.col("birth_year") > 99) & (F.col("death_year").isNull() | (F.col("death_year") > 99))
+    text = F.concat(F.when(dated, F.concat_ws(", ", "raw", years)).otherwise(F.col("raw")), F.lit(" [Editor]"))
+    return rows.withColumn("a", parsed_author(text)).select("raw", "a.*").filter("name is not null")
 
 
 @query("name_ratios")
@@ -326,15 +347,13 @@ def customers_with_orders(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("overlapping_spans", """
 WITH s AS (SELECT c_nationkey AS n, c_custkey AS c, epoch(min(o_orderdate))::BIGINT AS a, epoch(max(o_orderdate))::BIGINT + 1 AS b FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY 1, 2)
-SELECT x.n AS nation, count(*) AS pairs, sum(least(x.b, y.b) - greatest(x.a, y.a))::BIGINT AS seconds FROM s x JOIN s y ON x.n = y.n AND x.c < y.c AND greatest(x.a, y.a) < least(x.b, y.b) GROUP BY 1""")
+SELECT x.n AS nation, count(*) AS pairs, sum(least(x.b, y.b) - greatest(x.a, y.a))::BIGINT AS overlap FROM s x JOIN s y ON x.n = y.n AND x.c < y.c AND greatest(x.a, y.a) < least(x.b, y.b) GROUP BY 1""")
 def overlapping_spans(spark: SparkSession, folder: str) -> DataFrame:
-    """Interval join: customers of a nation whose spans of orders overlap."""
+    """How many customers of a nation have overlapping spans of orders, and how long: counted by a sweep, without the pairs."""
     pairs = table(spark, folder, "customer").join(table(spark, folder, "orders"), F.col("o_custkey") == F.col("c_custkey"))
     at = F.unix_timestamp(F.col("o_orderdate").cast("timestamp"))
     spans = pairs.groupBy(F.col("c_nationkey").alias("nation"), F.col("c_custkey").alias("c")).agg(F.min(at).alias("a"), (F.max(at) + 1).alias("b"))
-    met = joins.interval_overlap(spans, spans, ["nation"], start="a", end="b", width=86_400.0 * 365 * 2).filter("l_c < r_c")
-    seconds = F.least("l_b", "r_b") - F.greatest("l_a", "r_a")
-    return met.groupBy(F.col("l_nation").alias("nation")).agg(F.count("*").alias("pairs"), F.sum(seconds).alias("seconds"))
+    return joins.overlap_totals(spans, ["nation"], start="a", end="b")
 
 
 @query("latest_error", """
@@ -362,17 +381,6 @@ def name_claims(spark: SparkSession, folder: str) -> DataFrame:
     return graph.claims(people, None, person="person_id", name="name", birth="birth_year", death="death_year", origin="origin")
 
 
-@query("two_hop_edges", """
-SELECT l_suppkey AS person_a, o_custkey AS person_b, count(*) AS weight FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_suppkey <> o_custkey GROUP BY 1, 2""")
-def two_hop_edges(spark: SparkSession, folder: str) -> DataFrame:
-    """Edges between people through two things each of them owns."""
-    uses = table(spark, folder, "lineitem").select("l_suppkey", "l_orderkey").withColumnRenamed("l_suppkey", "source").withColumnRenamed("l_orderkey", "target")
-    suppliers = table(spark, folder, "supplier").select(F.col("s_suppkey").alias("thing"), F.col("s_suppkey").alias("person"))
-    orders = table(spark, folder, "orders").select(F.col("o_orderkey").alias("target"), F.col("o_custkey").alias("person_b"))
-    a = suppliers.select(F.col("thing").alias("source"), F.col("person").alias("person_a"))
-    return uses.join(a, "source").join(orders, "target").filter("person_a <> person_b").groupBy("person_a", "person_b").agg(F.count("*").alias("weight"))
-
-
 @query("matched_by_name", """
 WITH p AS (SELECT DISTINCT person_id, lower(name) AS n, origin FROM person WHERE name IS NOT NULL),
 m AS (SELECT n, min(person_id) AS matched, count(DISTINCT person_id) AS candidates FROM p WHERE origin = 'github' GROUP BY 1)
@@ -666,11 +674,14 @@ def works(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("about", """
-WITH t AS (SELECT DISTINCT person_id, unnest(CAST(CASE WHEN json_valid(topics_json) THEN topics_json ELSE '[]' END AS VARCHAR[])) AS topic FROM person)
-SELECT DISTINCT person_id FROM t WHERE lower(topic) = 'map tiling' ORDER BY person_id LIMIT 20""")
+WITH t AS (SELECT DISTINCT person_id, unnest(CAST(CASE WHEN json_valid(topics_json) THEN topics_json ELSE '[]' END AS VARCHAR[])) AS topic FROM person), c AS (SELECT person_id, count(*) AS n FROM (SELECT DISTINCT person_a AS person_id, person_b FROM identity_claim WHERE person_a IS NOT NULL AND person_b IS NOT NULL) GROUP BY 1)
+SELECT DISTINCT person_id, (1 + coalesce(n, 0))::DOUBLE AS weight FROM t LEFT JOIN c USING (person_id) WHERE lower(topic) = 'map tiling' ORDER BY weight DESC, person_id LIMIT 20""")
 def about(spark: SparkSession, folder: str) -> DataFrame:
-    people, _, topics = _graph(spark, folder)
-    return ask.about(people.dropDuplicates(["person_id"]), topics, "Map Tiling").select("person_id")
+    """People of a topic, weighted by what is linked to them."""
+    people, edges, topics = _graph(spark, folder)
+    counts = edges.groupBy("person_id").agg(F.count("*").alias("n"))
+    weighted = topics.drop("weight").join(counts, "person_id", "left").withColumn("weight", (1 + F.coalesce("n", F.lit(0))).cast("double"))
+    return ask.about(people.dropDuplicates(["person_id"]), weighted, "Map Tiling").select("person_id", "weight")
 
 
 @query("contemporaries", """
@@ -681,10 +692,9 @@ def contemporaries(spark: SparkSession, folder: str) -> DataFrame:
     return ask.contemporaries(_graph(spark, folder)[0], "soren").select("person_id", "years")
 
 
-@query("inventory", """
-SELECT 'category' AS table_name, count(*) AS rows FROM category UNION ALL SELECT 'curated_list', count(*) FROM curated_list UNION ALL SELECT 'entry', count(*) FROM entry UNION ALL SELECT 'person', count(*) FROM person""")
+@query("inventory", " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS rows FROM {n}" for n in TABLES))
 def inventory(spark: SparkSession, folder: str) -> DataFrame:
-    return ask.inventory({n: table(spark, folder, n) for n in ("person", "entry", "curated_list", "category")})
+    return ask.inventory({n: table(spark, folder, n) for n in TABLES})
 
 
 _ENTRIES_SQL = "e AS (SELECT DISTINCT list_repo AS list, section, target_repo AS target FROM entry WHERE list_repo IS NOT NULL AND trim(target_repo) <> '')"
