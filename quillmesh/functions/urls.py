@@ -13,11 +13,16 @@ def repository_name(text: Column) -> Column:
     query, fragment, ``.git`` and closing slash, and drops white space and punctuation around them.
     """
     plain = text.rlike(r"^[a-z0-9_-]+/[a-z0-9_-]+$")  # most are: they need none of the replacements
-    s = F.lower(F.regexp_replace(text, r"^[\s <(\[\"']+|[\s >)\]\"',;.]+$", ""))
-    s = F.regexp_replace(s, r"^(?:git\+)?(?:[a-z][a-z0-9+.-]*://)?(?:[^/@\s]+@)?(?:www\.)?github\.com[/:]+", "")
-    s = F.regexp_replace(s, r"[?#].*$", "")
-    s = F.regexp_replace(s, r"(?:\.git|[/.,;)>\s])+$", "")
-    return F.when(plain, text).when(s.rlike(r"^[^/\s:@]+/[^/\s]+"), F.regexp_extract(s, r"^([^/\s]+/[^/\s]+)", 1))
+
+    def cleaned(t: Column) -> Column:
+        s = F.lower(F.regexp_replace(t, r"^[\s <(\[\"']+|[\s >)\]\"',;.]+$", ""))
+        s = F.regexp_replace(s, r"^(?:git\+)?(?:[a-z][a-z0-9+.-]*://)?(?:[^/@\s]+@)?(?:www\.)?github\.com[/:]+", "")
+        s = F.regexp_replace(F.regexp_replace(s, r"[?#].*$", ""), r"(?:\.git|[/.,;)>\s])+$", "")
+        return F.regexp_extract(s, r"^([^/\s:@]+/[^/\s]+)", 1)
+
+    # Within a lambda the replacements run for the others only; elsewhere generated code computes them for every row.
+    made = F.element_at(F.transform(F.when(~plain, F.array(text)), cleaned), 1)
+    return F.when(plain, text).when(made != "", made)
 
 
 def clean_url(text: Column) -> Column:
