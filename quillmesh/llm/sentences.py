@@ -514,9 +514,14 @@ class Splitter:
         k, sentence = 0, 0
         cuts: list[int] = []
         at = skip
+        visible_end = len(p.rstrip())
         while m := TERMINATOR.search(p, at):
             i, j = m.span()
             at = j
+            if j >= visible_end:
+                break
+            if p[j].isdigit() and p[i] == "." and i and p[i - 1].isdigit():
+                continue  # a decimal or the like
             if j == i + 1 and (k >= len(inside) or j <= inside[k][0]) and p[i] == "." and p[j : j + 1] == " " and p[j + 1 : j + 2].isupper():
                 blank = p.rfind(" ", max(0, i - 24), i)  # the usual case: a small word, a blank and a capital
                 if blank >= 0 and self.is_clear(p[blank + 1 : i]):

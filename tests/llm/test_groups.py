@@ -41,10 +41,11 @@ def test_giant_that_is_longer_than_the_rounds(spark, monkeypatch):
     assert found(spark, links) == brute(links)
 
 
-@pytest.mark.parametrize("length", [8, 9, 10])
-def test_giant_that_ends_with_the_last_round(spark, length):
-    """The hub is v01 by tie; with 9 links behind it the last round reaches the end, with another pair still to label."""
-    links = [(f"v{i:02d}", f"v{i + 1:02d}") for i in range(length + 1)] + [("p", "q")]
+@pytest.mark.parametrize("length", [7, 8, 9, 10, 11])
+@pytest.mark.parametrize("leaves", [0, 5])
+def test_giant_that_ends_with_the_last_round(spark, length, leaves):
+    """The hub is v01; with 9 links behind it the last round reaches the end, with another pair still to label."""
+    links = [(f"v{i:02d}", f"v{i + 1:02d}") for i in range(length + 1)] + [("v01", f"leaf{i}") for i in range(leaves)] + [("p", "q")]
     assert found(spark, links) == brute(links)
 
 
