@@ -93,7 +93,6 @@ PREVIOUS = regex.compile(r"(?r)([\p{L}\p{M}\p{N}'’\-]+)[^\p{L}\p{M}\p{N}]*")
 LETTER_BEFORE = regex.compile(r"(?r)\b(\p{L})\.\s*")
 CAPITAL_BEFORE = regex.compile(r"(?r)\b(\p{Lu}|EE|UU)\.\s*")
 VISIBLE = regex.compile(r"\S")
-GOES_ON = regex.compile(r"\.(?:\s+[\p{Ll},;]|[,;])")
 UNCASED = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Hangul}\p{Arabic}\p{Devanagari}\p{Thai}\p{Lao}\p{Myanmar}\p{Ethiopic}\p{Hebrew}\p{Bengali}\p{Tamil}\p{Khmer}]")
 NO_BLANK_SCRIPT = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]")
 TO_LAST_LETTER = regex.compile(r"[\p{Thai}\p{Lao}](\s+)(?=[\p{Thai}\p{Lao}])")
@@ -268,7 +267,7 @@ class Splitter:
     def __init__(self, text: str, lexicon: Lexicon):
         self.text, self.lexicon = text, lexicon
         self.units = paragraphs(text)
-        self._periods: dict[str, list[int]] | None = None
+        self._going_on: Counter[str] | None = None
         self._words: PlainWords | None = None
         self._pieces: list[list[str]] | None = None
         self._known: dict[str, bool] = {}
@@ -280,17 +279,25 @@ class Splitter:
             self._pieces = pieces_of(self.text, self.units)
         return self._pieces
 
-    def own_periods(self, word: str) -> list[int]:
-        """Of this document: how often a period stands behind the word and the sentence goes on; and how often in all.
-        Where no sentence goes on behind any period, all are 0."""
-        if self._periods is None:
-            self._periods = {}
-            pieces = self.pieces() if GOES_ON.search(self.text) else []
-            for found, goes_on in with_period(pieces, self.lexicon.starters):
-                n = self._periods.setdefault(found, [0, 0])
-                n[0] += goes_on
-                n[1] += 1
-        return self._periods.get(word, [0, 0])
+    def own_going_on(self, word: str) -> int:
+        """How often, in this document, a period stands behind the word and the sentence goes on."""
+        if self._going_on is None:
+            if len(self.text) < SHORT_TEXT and not self._may_go_on(word):
+                return 0
+            self._going_on = Counter(found for found, on in with_period(self.pieces(), self.lexicon.starters) if on)
+        return self._going_on[word]
+
+    def _may_go_on(self, word: str) -> bool:
+        """Whether something that may go on a sentence stands behind any period that follows these letters."""
+        mark = word + "."
+        at = self.text.find(mark)
+        while at >= 0:
+            at += len(mark)
+            first, second = self.text[at : at + 1], self.text[at + 1 : at + 2]
+            if first in (",", ";") or (first.isspace() and (second.islower() or second.isspace() or second in (",", ";"))):
+                return True
+            at = self.text.find(mark, at)
+        return False
 
     def own_words(self) -> PlainWords:
         if self._words is None:
@@ -336,7 +343,7 @@ class Splitter:
         low = word.lower()
         listed = low in CONTINUING or low in MAY_END or low.endswith("str") or (low in TITLES and word[0].isupper())
         listed = listed or (len(word) == 2 and word.isupper() and word[0] == word[1])
-        on, _ = self.own_periods(word)
+        on = self.own_going_on(word)
         if not listed and not on and word not in self.lexicon.going_on:
             return False
         plain = self.own_plain(word)
@@ -497,24 +504,26 @@ class Splitter:
             return not self.starts_low(p, k)
         return p[a + 1 : stop].rstrip("\"'”»“ \u00a0\u202f")[-1:] in ("?", "!") and bool(SPEECH_AFTER_NAME.match(p, k))
 
-    def prose(self, start: int, end: int, item: bool) -> Iterator[tuple[int, int]]:
+    def prose(self, start: int, end: int, item: bool) -> list[tuple[int, int]]:
         p = self.text[start:end]
         if not item and not _ended(p) and not LINE_END.search(p.strip()) and _is_title(p):
-            yield from trimmed(self.text, start, end)
-            return
-        self._run, self._in_address = (0, 0), False
-        self._lead = VISIBLE.search(p).start()
+            return trimmed(self.text, start, (0, len(p)))
         skip = 0
         if item:
             m = ITEM_MARKER.match(p)
             skip = m.end() if m else 0
+        visible_end = len(p.rstrip())
+        m = TERMINATOR.search(p, skip)
+        if (not m or m.end() >= visible_end) and (p.isascii() or not TO_LAST_LETTER.search(p, skip)):
+            return trimmed(self.text, start, (0, len(p)))
+        self._run, self._in_address = (0, 0), False
+        self._lead = VISIBLE.search(p).start()
         inside = enclosed(p)
         opens = {a for a, _ in inside}
         tails = [_content_end(p, a, b) for a, b in inside]
         k, sentence = 0, 0
         cuts: list[int] = []
         at = skip
-        visible_end = len(p.rstrip())
         while m := TERMINATOR.search(p, at):
             i, j = m.span()
             at = j
@@ -557,22 +566,17 @@ class Splitter:
             i = blank.start(1)
             if not any(a < i < b for a, b in inside):
                 cuts.append(i)
-        last = 0
-        for cut in sorted(set(cuts)):
-            yield from trimmed(self.text, start + last, start + cut)
-            last = cut
-        yield from trimmed(self.text, start + last, end)
+        return trimmed(self.text, start, (0, *sorted(set(cuts)), len(p)))
 
     def abbreviation_at(self, p: str, at: int, mark: str) -> bool:
         word = self.run_before(p, at).lstrip(".'’-/_&+@:=#")
         return mark == "." and bool(word) and self.is_abbreviation(word)
 
-    def sentences(self) -> Iterator[tuple[int, int]]:
+    def sentences(self) -> list[tuple[int, int]]:
+        found = []
         for start, end, kind in self.units:
-            if kind == "whole":
-                yield from trimmed(self.text, start, end)
-            else:
-                yield from self.prose(start, end, kind == "item")
+            found += trimmed(self.text, start, (0, end - start)) if kind == "whole" else self.prose(start, end, kind == "item")
+        return found
 
 
 def _is_title(line: str) -> bool:
@@ -583,13 +587,18 @@ def _is_title(line: str) -> bool:
     return 0 < len(words) <= 10 and all(w[0].isupper() for w in words)
 
 
-def trimmed(text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
-    while start < end and text[start].isspace():
-        start += 1
-    while end > start and text[end - 1].isspace():
-        end -= 1
-    if start < end:
-        yield start, end
+def trimmed(text: str, start: int, cuts: tuple[int, ...]) -> list[tuple[int, int]]:
+    """The pieces between the cuts, counted from ``start``, without white space at either end; those of nothing else are left out."""
+    spans = []
+    for a, b in zip(cuts, cuts[1:]):
+        a, b = start + a, start + b
+        while a < b and text[a].isspace():
+            a += 1
+        while b > a and text[b - 1].isspace():
+            b -= 1
+        if a < b:
+            spans.append((a, b))
+    return spans
 
 
 # A word as it is counted, with an opener before it and at most one mark, or a period and a mark, behind it.
@@ -620,11 +629,10 @@ def pieces_of(text: str, units: Iterable[tuple[int, int, str]]) -> list[list[str
 def with_period(units: list[list[str]], starters: frozenset[str] = frozenset()) -> Iterator[tuple[str, bool]]:
     """(word, whether the sentence goes on) of words with a period, but for the first of each unit."""
     for pieces in units:
-        for i, piece in enumerate(pieces):
-            if i and (piece[-1] == "." or piece[-2:-1] == "."):
+        for piece, then in [(x, y) for x, y in zip(pieces[1:], [*pieces[2:], ""]) if "." in x]:
+            if piece[-1] == "." or piece[-2:-1] == ".":
                 word, mark = _piece(piece)
                 if word and mark == ".":
-                    then = pieces[i + 1] if i + 1 < len(pieces) else ""
                     yield word, bool(then) and (then[0].islower() or then[0] in ",;") and not CODE_NAME.match(then) and then not in starters
                 elif word and len(mark) == 2:
                     yield word, True
@@ -750,10 +758,10 @@ def split_sentences(df: DataFrame, *, key: str, text: str, lexicon: Lexicon | No
             for i, value in enumerate(batch.column(1)):
                 content = value.as_py()
                 if content and not content.isspace():
-                    for a, b in Splitter(content, known).sentences():
-                        which.append(i)
-                        starts.append(a)
-                        ends.append(b)
+                    spans = Splitter(content, known).sentences()
+                    which += [i] * len(spans)
+                    starts += [a for a, _ in spans]
+                    ends += [b for _, b in spans]
                 if len(which) >= 1 << 18:
                     yield written()
                     which, starts, ends = [], [], []

@@ -155,7 +155,8 @@ def items_together(
         raise ValueError("min_together must be at least 1 and min_lift not negative")
     rows = pick(df, basket=basket, item=item)
     rows = rows.select(blank_to_null(F.col("basket")).alias("basket"), blank_to_null(F.col("item")).alias("item"))
-    rows = cut_lineage(rows.filter("basket is not null and item is not null").distinct())
+    # Filtered only once written: a filter before would be moved below the names, and compute them a second time.
+    rows = cut_lineage(rows.distinct()).filter("basket is not null and item is not null")
     total = rows.select("basket").distinct().count()
 
     # An item in more than total / min_lift baskets can't reach the lift with any other.
