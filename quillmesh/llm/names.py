@@ -468,22 +468,15 @@ def link_names(df: DataFrame, *, key: str = "person_id", name: str = "name", sor
     # The block's hash is enough: where two blocks share one, more pairs are compared.
     blocked = cut_lineage(blocked.select("id", "birth", F.explode("blocks").alias("block")).select("id", "birth", F.xxhash64("block").alias("block")))
     sizes = blocked.groupBy("block").agg(F.count("*").alias("size")).filter("size > 1")
-    blocked = blocked.join(sizes, "block")
+    blocked = cut_lineage(blocked.join(sizes, "block"))  # most blocks have one reading, and are gone
+    biggest = blocked.agg(F.max("size")).first()[0] or 0
     a, b = blocked.alias("a"), blocked.alias("b")
     near = F.expr("a.birth is null or b.birth is null or abs(a.birth - b.birth) <= 1")
     small = a.filter(F.col("size") <= LARGE_BLOCK).join(b.filter(F.col("size") <= LARGE_BLOCK), F.expr("a.block = b.block and a.id < b.id") & near)
     pairs = small.select(F.col("a.id").alias("a"), F.col("b.id").alias("b"))
-    # Large blocks: a year meets itself and the next, a reading without year meets all. Both the readings at home and those that
-    # come to look are spread over as many tasks as the block's size asks for.
-    large = blocked.filter(F.col("size") > LARGE_BLOCK).withColumn("salts", F.ceil(F.col("size") / SALTED_ROWS).cast("int"))
-    home = large.select("id", "block", F.col("birth").alias("at"), F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"))
-    dated = large.filter("birth is not null").select("id", "block", "birth", "salts", F.explode(F.array("birth", F.col("birth") + 1)).alias("at"))
-    dated = dated.select("id", "block", "salts", "at", (F.col("at") > F.col("birth")).alias("any"))
-    undated = large.select("id", "block", "salts", F.lit(None).cast("long").alias("at"), F.col("birth").isNotNull().alias("any"))
-    looks = dated.union(undated).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).alias("look")
-    met = home.alias("home").join(looks, F.expr("home.block = look.block and home.salt = look.salt and home.at <=> look.at and (look.any or home.id < look.id)"))
-    ends = [f("home.id", "look.id") for f in (F.least, F.greatest)]
-    pairs = pairs.union(met.select(ends[0].alias("a"), ends[1].alias("b"))).distinct()
+    if biggest > LARGE_BLOCK:
+        pairs = pairs.union(_pairs_of_large_blocks(blocked))
+    pairs = pairs.distinct()
 
     sides = [readings.select(F.col("id").alias(s), F.col("reading").alias(f"reading_{s}")) for s in ("a", "b")]
     candidates = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "reading_a", "reading_b")
@@ -499,6 +492,20 @@ def link_names(df: DataFrame, *, key: str = "person_id", name: str = "name", sor
     return connected_groups(accepted.select("a", "b").union(copies), a="a", b="b").withColumnRenamed("vertex", "key")
 
 
+def _pairs_of_large_blocks(blocked: DataFrame) -> DataFrame:
+    """Pairs (a, b) of the blocks above the bound: a year meets itself and the next, a reading without year meets all. Both the
+    readings at home and those that come to look are spread over as many tasks as the block's size asks for."""
+    large = blocked.filter(F.col("size") > LARGE_BLOCK).withColumn("salts", F.ceil(F.col("size") / SALTED_ROWS).cast("int"))
+    home = large.select("id", "block", F.col("birth").alias("at"), F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"))
+    dated = large.filter("birth is not null").select("id", "block", "birth", "salts", F.explode(F.array("birth", F.col("birth") + 1)).alias("at"))
+    dated = dated.select("id", "block", "salts", "at", (F.col("at") > F.col("birth")).alias("any"))
+    undated = large.select("id", "block", "salts", F.lit(None).cast("long").alias("at"), F.col("birth").isNotNull().alias("any"))
+    looks = dated.union(undated).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).alias("look")
+    met = home.alias("home").join(looks, F.expr("home.block = look.block and home.salt = look.salt and home.at <=> look.at and (look.any or home.id < look.id)"))
+    ends = [f("home.id", "look.id") for f in (F.least, F.greatest)]
+    return met.select(ends[0].alias("a"), ends[1].alias("b"))
+
+
 def _unambiguous(accepted: DataFrame, words: Words) -> DataFrame:
     """Pairs without those of a weak reading (no year of birth, or only an initial) whose partners contradict one another."""
 
