@@ -8,11 +8,11 @@ the accepted pairs by connected components.
   given names, and which are ordinary words of organisations, is learned from all rows.
 - Rows that read the same are one; only their different readings are compared. Blocks are the sorted codes of
   surname and initial, where a code is the word's consonants by sound, or the word with one consonant left out,
-  so that a typing error in the surname still meets; and the sorted codes of surname and given name without its
-  first letter, so that one there does. Bodies have such blocks for every word. Blocks above a bound are divided by
+  so that a typing error in the surname still meets, also a consonant in place of a vowel; and the sorted codes of
+  surname and given name without its first letter, so that one there does. Bodies have such blocks for every word. Blocks above a bound are divided by
   year of birth and spread over several tasks.
 - A pair is accepted if its names agree and nothing contradicts. Two words agree by nickname, by sound, or from a
-  Jaro-Winkler score of ``SAME_WORD`` on, which decides alone. Years differ by one at most, further given names don't
+  Jaro-Winkler score of ``SAME_WORD`` (long ones ``SAME_LONG_WORD``) on, which decides alone. Years differ by one at most, further given names don't
   differ. A reading without year, or with only an initial, that would agree with readings that contradict one
   another, is not linked to any of them.
 """
@@ -41,8 +41,9 @@ COMMON_SHARE, COMMON_ROWS = 0.01, 8
 LARGE_BLOCK = 200
 #: Readings of a large block that one task holds.
 SALTED_ROWS = 2000
-#: Jaro-Winkler from which on two words are spellings of one.
-SAME_WORD = 0.9
+#: Jaro-Winkler from which on two words are spellings of one: one error costs a long word less.
+SAME_WORD, SAME_LONG_WORD = 0.9, 0.94
+LONG_WORD = 8
 #: In place of a given name: the word before it is the whole name.
 WHOLE = "="
 
@@ -125,14 +126,26 @@ def without_one_consonant(word: str) -> set[str]:
     return {sound, *(by_sound(sound[:i] + sound[i + 1 :]) for i, c in enumerate(sound) if c not in VOWELS)}
 
 
-def jaro_winkler(a: str, b: str) -> float:
-    """1 for equal words, 0 for words without common letters."""
+@lru_cache(maxsize=200_000)
+def shorter_skeletons(word: str) -> frozenset[str]:
+    """The skeletons of the word with one consonant left out, but for its own."""
+    sound = by_sound(word)
+    return frozenset(skeleton(sound[:i] + sound[i + 1 :]) for i, c in enumerate(sound) if c not in VOWELS) - {skeleton(word)}
+
+
+def jaro_winkler(a: str, b: str, *, in_place: bool = False) -> float:
+    """1 for equal words, 0 for words without common letters. A letter is matched with the first free one within reach; with
+    ``in_place`` those that stand in the same place are matched before, which tells more where letters recur."""
     if a == b:
         return 1.0
     reach = max(len(a), len(b)) // 2 - 1
-    used = [False] * len(b)
+    same = [in_place and x == y for x, y in zip(a, b)]
+    used = same + [False] * (len(b) - len(same))
     matched_a = []
     for i, c in enumerate(a):
+        if i < len(same) and same[i]:
+            matched_a.append(c)
+            continue
         for j in range(max(0, i - reach), min(len(b), i + reach + 1)):
             if not used[j] and b[j] == c:
                 used[j] = True
@@ -155,13 +168,15 @@ def same_word(a: str, b: str) -> bool:
     """One word, but for a typing error: equal, equal by sound, or alike by Jaro-Winkler; words under four letters aren't alike."""
     if a == b or by_sound(a) == by_sound(b):
         return True
-    return min(len(a), len(b)) >= 4 and likeness(a, b) >= SAME_WORD
+    shorter = min(len(a), len(b))
+    return shorter >= 4 and likeness(a, b) >= (SAME_LONG_WORD if shorter >= LONG_WORD else SAME_WORD)
 
 
 def likeness(a: str, b: str) -> float:
-    """Jaro-Winkler, read forwards or backwards, whichever is higher: its matching goes from left to right and favours equal
-    beginnings, so an early error would count more than a late one."""
-    return max(jaro_winkler(a, b), jaro_winkler(a[::-1], b[::-1]))
+    """Jaro-Winkler at its highest: read forwards or backwards, since it favours equal beginnings and an early error would count
+    more than a late one; and by either way of matching."""
+    back = a[::-1], b[::-1]
+    return max(jaro_winkler(a, b), jaro_winkler(*back), jaro_winkler(a, b, in_place=True), jaro_winkler(*back, in_place=True))
 
 
 class Words:
@@ -176,10 +191,13 @@ def human_forms(text: str | None, words: Words) -> list[tuple[str, str, str]]:
     that can't be a handle is (word, "=", ""): it is compared as a whole."""
     if not text or not text.strip():
         return []
-    nick = ""
-    if m := QUOTED.search(text):
-        nick = folded(m.group(1))
-    plain = IN_BRACKETS.sub(" ", QUOTED.sub(" ", text))
+    nick, plain = "", text
+    if not text.isascii() or '"' in text:
+        if m := QUOTED.search(text):
+            nick = folded(m.group(1))
+        plain = QUOTED.sub(" ", text)
+    if "(" in plain:
+        plain = IN_BRACKETS.sub(" ", plain)
     if not plain.isupper():  # "ND Name": two initials
         plain = TWO_INITIALS.sub(r"\1 \2", plain)
     s = folded(plain)
@@ -263,7 +281,7 @@ def reading(kind: str, name: str | None, sort_name: str | None, birth: int | Non
             return json.dumps(["o", [], single, birth, death])
         return json.dumps(["o", forms, handles, birth, death])
     by_order = human_forms(sort_name, words)
-    by_name = human_forms(name, words)
+    by_name = by_order if name == sort_name else human_forms(name, words)
     if len(by_order) == 1 and len(by_name) > 1:  # the unambiguous spelling tells the order of the other
         surname = by_order[0][0]
         by_name = [f for f in by_name if same_word(f[0], surname)] or by_order
@@ -326,6 +344,24 @@ def keys_of(text: str, words: Words) -> list[str]:
     return sorted(keys)
 
 
+def looks_of(text: str) -> list[str]:
+    """Blocks in which a reading looks for others without being found there by readings that only look, too: those it would have
+    if a consonant in it stood for a vowel, or were too many."""
+    what, forms, _, _, _ = parsed(text)
+    looks = set()
+    if what == "h":
+        for surname, given in forms:
+            if given != WHOLE:
+                for first in {by_sound(i) for i in initials(given)} if given else {""}:
+                    looks.update("h:" + "|".join(sorted((first, code))) for code in shorter_skeletons(surname))
+    else:
+        for form in forms:
+            for i, word in enumerate(form):
+                rest = [skeleton(w) for w in (*form[:i], *form[i + 1 :])]
+                looks.update("o:" + "|".join(sorted((*rest, code))) for code in shorter_skeletons(word))
+    return sorted(looks)
+
+
 def years_agree(a: int | None, b: int | None) -> bool:
     return a is None or b is None or abs(a - b) <= 1
 
@@ -455,31 +491,38 @@ def link_names(df: DataFrame, *, key: str = "person_id", name: str = "name", sor
     key_kind = rows.schema["key"].dataType.simpleString()
     read_rows = spread(rows.select("key", "kind", "name", "sort_name", "birth", "death")).mapInArrow(read, f"key {key_kind}, reading string")
     read_rows = cut_lineage(read_rows.filter("reading is not null"))
-    readings = cut_lineage(read_rows.groupBy("reading").agg(F.min("key").alias("id")))
+    # Numbers stand for the readings until their pairs are compared: they sort and shuffle faster than keys.
+    readings = cut_lineage(read_rows.groupBy("reading").agg(F.min("key").alias("key_of")).withColumn("id", F.monotonically_increasing_id()))
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            lists = [keys_of(t, words) for t in texts]
             births = [parsed(t)[3] for t in texts]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(births, pa.int64()), pa.array(lists, pa.list_(pa.string()))], names=["id", "birth", "blocks"])
-
-    blocked = spread(readings.select("id", "reading")).mapInArrow(blocks, f"id {key_kind}, birth long, blocks array<string>")
+            found = [[(k, True) for k in keys_of(t, words)] + [(k, False) for k in looks_of(t)] for t in texts]
+            ends = [0]
+            for keys in found:
+                ends.append(ends[-1] + len(keys))
+            flat = [k for keys in found for k in keys]
+            entries = pa.StructArray.from_arrays([pa.array([k for k, _ in flat], pa.string()), pa.array([f for _, f in flat], pa.bool_())], names=["block", "full"])
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), entries)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(births, pa.int64()), lists], names=["id", "birth", "blocks"])
+
+    blocked = spread(readings.select("id", "reading")).mapInArrow(blocks, "id long, birth long, blocks array<struct<block:string,full:boolean>>")
     # The block's hash is enough: where two blocks share one, more pairs are compared.
-    blocked = cut_lineage(blocked.select("id", "birth", F.explode("blocks").alias("block")).select("id", "birth", F.xxhash64("block").alias("block")))
-    sizes = blocked.groupBy("block").agg(F.count("*").alias("size")).filter("size > 1")
+    blocked = cut_lineage(blocked.select("id", "birth", F.inline("blocks")).select("id", "birth", F.xxhash64("block").alias("block"), "full"))
+    sizes = blocked.groupBy("block").agg(F.count("*").alias("size"), F.max("full").alias("_any")).filter("size > 1 and _any").drop("_any")
     blocked = cut_lineage(blocked.join(sizes, "block"))  # most blocks have one reading, and are gone
     biggest = blocked.agg(F.max("size")).first()[0] or 0
     a, b = blocked.alias("a"), blocked.alias("b")
     near = F.expr("a.birth is null or b.birth is null or abs(a.birth - b.birth) <= 1")
-    small = a.filter(F.col("size") <= LARGE_BLOCK).join(b.filter(F.col("size") <= LARGE_BLOCK), F.expr("a.block = b.block and a.id < b.id") & near)
+    small = a.filter(F.col("size") <= LARGE_BLOCK).join(b.filter(F.col("size") <= LARGE_BLOCK), F.expr("a.block = b.block and a.id < b.id and (a.full or b.full)") & near)
     pairs = small.select(F.col("a.id").alias("a"), F.col("b.id").alias("b"))
     if biggest > LARGE_BLOCK:
         pairs = pairs.union(_pairs_of_large_blocks(blocked))
     pairs = pairs.distinct()
 
-    sides = [readings.select(F.col("id").alias(s), F.col("reading").alias(f"reading_{s}")) for s in ("a", "b")]
-    candidates = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "reading_a", "reading_b")
+    sides = [readings.select(F.col("id").alias(s), F.col("key_of").alias(f"key_{s}"), F.col("reading").alias(f"reading_{s}")) for s in ("a", "b")]
+    candidates = pairs.join(sides[0], "a").join(sides[1], "b").select(F.col("key_a").alias("a"), F.col("key_b").alias("b"), "reading_a", "reading_b")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -488,7 +531,7 @@ def link_names(df: DataFrame, *, key: str = "person_id", name: str = "name", sor
 
     accepted = candidates.mapInArrow(compare, f"a {key_kind}, b {key_kind}, reading_a string, reading_b string")
     accepted = cut_lineage(_unambiguous(cut_lineage(accepted), words))
-    copies = read_rows.join(readings, "reading").filter(F.col("key") != F.col("id")).select(F.col("key").alias("a"), F.col("id").alias("b"))
+    copies = read_rows.join(readings, "reading").filter(F.col("key") != F.col("key_of")).select(F.col("key").alias("a"), F.col("key_of").alias("b"))
     return connected_groups(accepted.select("a", "b").union(copies), a="a", b="b").withColumnRenamed("vertex", "key")
 
 
@@ -496,12 +539,12 @@ def _pairs_of_large_blocks(blocked: DataFrame) -> DataFrame:
     """Pairs (a, b) of the blocks above the bound: a year meets itself and the next, a reading without year meets all. Both the
     readings at home and those that come to look are spread over as many tasks as the block's size asks for."""
     large = blocked.filter(F.col("size") > LARGE_BLOCK).withColumn("salts", F.ceil(F.col("size") / SALTED_ROWS).cast("int"))
-    home = large.select("id", "block", F.col("birth").alias("at"), F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"))
-    dated = large.filter("birth is not null").select("id", "block", "birth", "salts", F.explode(F.array("birth", F.col("birth") + 1)).alias("at"))
-    dated = dated.select("id", "block", "salts", "at", (F.col("at") > F.col("birth")).alias("any"))
-    undated = large.select("id", "block", "salts", F.lit(None).cast("long").alias("at"), F.col("birth").isNotNull().alias("any"))
+    home = large.select("id", "block", "full", F.col("birth").alias("at"), F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"))
+    dated = large.filter("birth is not null").select("id", "block", "full", "birth", "salts", F.explode(F.array("birth", F.col("birth") + 1)).alias("at"))
+    dated = dated.select("id", "block", "full", "salts", "at", (F.col("at") > F.col("birth")).alias("any"))
+    undated = large.select("id", "block", "full", "salts", F.lit(None).cast("long").alias("at"), F.col("birth").isNotNull().alias("any"))
     looks = dated.union(undated).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).alias("look")
-    met = home.alias("home").join(looks, F.expr("home.block = look.block and home.salt = look.salt and home.at <=> look.at and (look.any or home.id < look.id)"))
+    met = home.alias("home").join(looks, F.expr("home.block = look.block and home.salt = look.salt and home.at <=> look.at and (home.full or look.full) and (look.any or home.id < look.id)"))
     ends = [f("home.id", "look.id") for f in (F.least, F.greatest)]
     return met.select(ends[0].alias("a"), ends[1].alias("b"))
 

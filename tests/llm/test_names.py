@@ -3,7 +3,7 @@ from hypothesis import given
 from hypothesis import strategies as st
 
 from quillmesh.llm import names
-from quillmesh.llm.names import Words, agree, jaro_winkler, keys_of, likeness, link_names, pairs_within, reading, same_word
+from quillmesh.llm.names import Words, agree, jaro_winkler, keys_of, likeness, link_names, looks_of, pairs_within, reading, same_word
 
 WORDS = Words(
     "alejandro anthony amara benjamin celine dorota hanna michael mikhail nadia priya soren susanne tamsin ulrich vera william".split(),
@@ -15,6 +15,11 @@ def human(name, sort_name=None, birth=None, death=None):
     return reading("human", name, sort_name, birth, death, WORDS)
 
 
+def meet(x, y):
+    keys = [set(keys_of(r, WORDS)) for r in (x, y)]
+    return bool(keys[0] & keys[1] or keys[0] & set(looks_of(y)) or keys[1] & set(looks_of(x)))
+
+
 def body(name, sort_name=None, birth=None):
     return reading("organisation", name, sort_name, birth, None, WORDS)
 
@@ -44,7 +49,7 @@ def body(name, sort_name=None, birth=None):
 def test_spellings_of_one_person(a, b):
     x, y = human(*a), human(*b)
     assert agree(x, y, WORDS) and agree(y, x, WORDS)
-    assert set(keys_of(x, WORDS)) & set(keys_of(y, WORDS))
+    assert meet(x, y)
 
 
 @pytest.mark.parametrize(
@@ -75,7 +80,7 @@ def test_namesakes_and_relatives_stay_apart(a, b):
 )
 def test_spellings_of_one_body(a, b):
     x, y = body(*a), body(*b)
-    assert agree(x, y, WORDS) and set(keys_of(x, WORDS)) & set(keys_of(y, WORDS))
+    assert agree(x, y, WORDS) and meet(x, y)
 
 
 @pytest.mark.parametrize(
@@ -102,7 +107,7 @@ def test_bodies_that_share_words_stay_apart(a, b):
 )
 def test_a_typing_error_in_any_word_of_a_body_shares_a_block(a, b):
     x, y = body(a), body(b)
-    assert agree(x, y, WORDS) and set(keys_of(x, WORDS)) & set(keys_of(y, WORDS))
+    assert agree(x, y, WORDS) and meet(x, y)
 
 
 def test_nothing_to_read():
@@ -126,6 +131,7 @@ def test_the_score_alone_decides(a, b, same):
     "a,b",
     [
         (("Dorota Gejimeriv",), ("Borota Gejimeriv",)),  # the first letter of the given name
+        (("Hanna Liharoza",), ("Hanna Ltharoza",)),  # a consonant for a vowel
         (("Cher",), ("Cher", None, 1946)),
         (("王小明",), ("王小明",)),
         (("Vera",), ("Vera",)),
@@ -135,7 +141,7 @@ def test_the_score_alone_decides(a, b, same):
 )
 def test_more_spellings_of_one_person(a, b):
     x, y = human(*a), human(*b)
-    assert agree(x, y, WORDS) and (x == y or set(keys_of(x, WORDS)) & set(keys_of(y, WORDS)))
+    assert agree(x, y, WORDS) and (x == y or meet(x, y))
 
 
 @pytest.mark.parametrize("a,b", [("Hanna Maria Luise Bokizimonen", "Hanna Maria Priya Bokizimonen"), ("Cher", "Chen"), ("Vera", "Vera Dinesole"), ("王小明", "王小红")])
@@ -148,7 +154,7 @@ def test_bodies_of_one_word():
     assert not agree(body("Intel"), body("Inter"), WORDS)
     assert body("NASA") is None and body("I.B.M.") is None
     x, y = body("Alder Birch Mavon Zeppo"), body("Alder Birch Navon Zeppo")
-    assert agree(x, y, WORDS) and set(keys_of(x, WORDS)) & set(keys_of(y, WORDS))
+    assert agree(x, y, WORDS) and meet(x, y)
 
 
 SCHEMA = "person_id string, name string, sort_name string, kind string, birth_year int, death_year int, key string, KIND string"
