@@ -44,6 +44,8 @@ SALTED_ROWS = 2000
 #: Jaro-Winkler from which on two words are spellings of one: one error costs a long word less.
 SAME_WORD, SAME_LONG_WORD = 0.9, 0.94
 LONG_WORD = 8
+#: Words or readings of which a worker keeps what it found.
+KEPT = 30_000
 #: In place of a given name: the word before it is the whole name.
 WHOLE = "="
 
@@ -107,13 +109,13 @@ def folded(text: str) -> str:
     return " ".join("".join(c for c in text if not unicodedata.combining(c)).translate(LATIN).replace("​", "").replace("﻿", "").split())
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=KEPT)
 def by_sound(word: str) -> str:
     """The word in letters of one sound, doubled letters once."""
     return DOUBLED.sub(r"\1", word.translate(SOUNDS))
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=KEPT)
 def skeleton(word: str) -> str:
     """Its first letter, if a vowel as "a", and its consonants by sound."""
     sound = by_sound(word)
@@ -126,7 +128,7 @@ def without_one_consonant(word: str) -> set[str]:
     return {sound, *(by_sound(sound[:i] + sound[i + 1 :]) for i, c in enumerate(sound) if c not in VOWELS)}
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=KEPT)
 def shorter_skeletons(word: str) -> frozenset[str]:
     """The skeletons of the word with one consonant left out, but for its own."""
     sound = by_sound(word)
@@ -163,7 +165,7 @@ def jaro_winkler(a: str, b: str, *, in_place: bool = False) -> float:
     return score + prefix * 0.1 * (1 - score)
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=KEPT)
 def same_word(a: str, b: str) -> bool:
     """One word, but for a typing error: equal, equal by sound, or alike by Jaro-Winkler; words under four letters aren't alike."""
     if a == b or by_sound(a) == by_sound(b):
@@ -308,13 +310,13 @@ def reading(kind: str, name: str | None, sort_name: str | None, birth: int | Non
     return json.dumps(["h", sorted(out), middle.split(), birth, death]) if out else None
 
 
-@lru_cache(maxsize=100_000)
+@lru_cache(maxsize=KEPT)
 def formal(given: str) -> frozenset[str]:
     """The name itself, and those it may be a nickname of."""
     return frozenset((given, *NICKNAMES.get(given, "").split()))
 
 
-@lru_cache(maxsize=100_000)
+@lru_cache(maxsize=KEPT)
 def initials(given: str) -> frozenset[str]:
     return frozenset(g[0] for g in formal(given))
 
@@ -385,7 +387,7 @@ def same_middle(a: list[str], b: list[str]) -> bool:
     return all(x[0] == y[0] if len(x) == 1 or len(y) == 1 else same_word(x, y) for x, y in zip(a, b))
 
 
-@lru_cache(maxsize=100_000)
+@lru_cache(maxsize=KEPT)
 def parsed(text: str) -> list:
     return json.loads(text)
 

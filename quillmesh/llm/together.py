@@ -161,7 +161,7 @@ def items_together(
 
     # An item in more than total / min_lift baskets can't reach the lift with any other.
     items = rows.groupBy("item").agg(F.count("*").alias("n")).filter((F.col("n") >= min_together) & (F.col("n") * min_lift <= total * (1 + 1e-12)))
-    items = cut_lineage(items).withColumn("id", F.monotonically_increasing_id())
+    items = cut_lineage(items.withColumn("id", F.monotonically_increasing_id()))  # written with it: the same at every use
     members = cut_lineage(rows.join(items, "item").select("basket", "id", "n"))
     sizes = members.groupBy("basket").agg(F.count("*").alias("size"))
     large = sizes.filter(F.col("size") > BLOCK)

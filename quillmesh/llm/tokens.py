@@ -11,6 +11,7 @@ The vocabulary (a fixed file of under 1 MB) is read by the driver from a path an
 from __future__ import annotations
 
 import base64
+import hashlib
 from collections.abc import Iterator
 from itertools import chain
 
@@ -141,12 +142,12 @@ class Encoder:
         return sum(map(len, self.pieces(text)))
 
 
-_ENCODERS: dict[int, Encoder] = {}
+_ENCODERS: dict[bytes, Encoder] = {}
 
 
 def encoder_of(content: bytes) -> Encoder:
     """One encoder per vocabulary in each worker, with the pieces it remembers."""
-    key = hash(content)
+    key = hashlib.blake2b(content).digest()
     if key not in _ENCODERS:
         _ENCODERS[key] = Encoder(parse_ranks(content))
     return _ENCODERS[key]
