@@ -293,8 +293,9 @@ def corpus_index(spark: SparkSession, folder: str) -> DataFrame:
 # --- registries -----------------------------------------------------------------------------------------------------
 
 
-def _dump(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """A registry's dump made of the trade tables: parts are packages, suppliers their users, nations the teams; written as CSV and read."""
+def _dump(spark: SparkSession, folder: str, *names: str) -> dict[str, DataFrame]:
+    """Tables of a registry's dump made of the trade tables: parts are packages, suppliers their users, nations the teams; written as
+    CSV and read."""
     part, supplier, nation, line = (table(spark, folder, t) for t in ("part", "supplier", "nation", "lineitem"))
     owned = line.select(F.col("l_partkey").alias("crate_id"), F.col("l_suppkey").alias("owner_id")).distinct().withColumn("owner_kind", F.when(F.col("owner_id") % 4 == 0, "1").otherwise("0"))
     owned = owned.withColumn("owner_id", F.when(F.col("owner_kind") == "1", F.col("owner_id") % 25).otherwise(F.col("owner_id")))
@@ -308,11 +309,12 @@ def _dump(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         "crate_owners": owned, "versions": versions.dropDuplicates(["id"]), "version_downloads": downloads,
     }
     path = scratch(spark)
-    files.write_dump(tables, path)
-    return files.read_dump(spark, path, {
+    files.write_dump({n: tables[n] for n in names}, path)
+    schemas = {
         "crates": "id string, name string, repository string, readme string, downloads string", "users": "id string, gh_login string", "teams": "id string, login string",
         "crate_owners": "crate_id string, owner_id string, owner_kind string", "versions": "id string, crate_id string, published_by string, created_at string, yanked string", "version_downloads": "version_id string, date string, downloads string",
-    })
+    }
+    return files.read_dump(spark, path, {n: schemas[n] for n in names})
 
 
 _OWNED = "owned AS (SELECT DISTINCT l_partkey AS c, l_suppkey AS s FROM lineitem)"
@@ -322,14 +324,14 @@ _OWNED = "owned AS (SELECT DISTINCT l_partkey AS c, l_suppkey AS s FROM lineitem
 WITH {_OWNED}, e AS (SELECT DISTINCT 'gh:' || lower(s_name) AS person_id, p_name || '-' || p_partkey AS crate FROM owned JOIN supplier ON s_suppkey = s JOIN part ON p_partkey = c WHERE s % 4 <> 0 AND s % 11 <> 5 AND s % 2 = 1)
 SELECT person_id, crate, count(*) OVER (PARTITION BY person_id) AS crate_count FROM e""")
 def registry_maintainers(spark: SparkSession, folder: str) -> DataFrame:
-    dump = _dump(spark, folder)
+    dump = _dump(spark, folder, "crate_owners", "users", "crates")
     known = table(spark, folder, "supplier").filter("s_suppkey % 2 = 1").select(F.upper("s_name").alias("login"), F.concat(F.lit("gh:"), F.lower("s_name")).alias("person_id"))
     return registry.maintainers(dump["crate_owners"], dump["users"], dump["crates"], known)[0]
 
 
 @query("registry_claims", f"WITH {_OWNED} SELECT DISTINCT s_name AS gh_login, s::VARCHAR AS user_id FROM owned JOIN supplier ON s_suppkey = s WHERE s % 4 <> 0 AND s % 11 <> 5 AND s % 2 = 0")
 def registry_claims(spark: SparkSession, folder: str) -> DataFrame:
-    dump = _dump(spark, folder)
+    dump = _dump(spark, folder, "crate_owners", "users", "crates")
     known = table(spark, folder, "supplier").filter("s_suppkey % 2 = 1").select(F.col("s_name").alias("login"), F.lower("s_name").alias("person_id"))
     return registry.maintainers(dump["crate_owners"], dump["users"], dump["crates"], known)[1]
 
@@ -337,7 +339,7 @@ def registry_claims(spark: SparkSession, folder: str) -> DataFrame:
 @query("registry_organisations", f"""
 WITH {_OWNED} SELECT DISTINCT n_name AS organisation, p_name || '-' || p_partkey AS crate FROM owned JOIN nation ON n_nationkey = s % 25 JOIN part ON p_partkey = c WHERE s % 4 = 0 AND n_nationkey % 5 <> 0""")
 def registry_organisations(spark: SparkSession, folder: str) -> DataFrame:
-    dump = _dump(spark, folder)
+    dump = _dump(spark, folder, "teams", "crate_owners", "crates")
     return registry.organisations(dump["teams"], dump["crate_owners"], dump["crates"])[1]
 
 
@@ -348,7 +350,7 @@ m AS (SELECT days[1 + len(days) // 2] AS middle, days[1 + least(len(days) - 1, g
 SELECT c::VARCHAR AS crate_id, coalesce(sum(n) FILTER (WHERE day < middle), 0)::BIGINT AS early, coalesce(sum(n) FILTER (WHERE day >= middle), 0)::BIGINT AS late, coalesce(sum(n) FILTER (WHERE day >= recent), 0)::BIGINT AS recent FROM x, m GROUP BY 1""")
 def registry_momentum(spark: SparkSession, folder: str) -> DataFrame:
     """Downloads of versions rolled up to their crate, early and late (versions whose number two crates share are left out)."""
-    dump = _dump(spark, folder)
+    dump = _dump(spark, folder, "version_downloads", "versions")
     line = table(spark, folder, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string").alias("id"), "l_partkey")
     clear = line.groupBy("id").agg(F.count_distinct("l_partkey").alias("k")).filter("k = 1").select("id")
     return registry.momentum(dump["version_downloads"], dump["versions"].join(clear, "id", "left_semi")).select("crate_id", "early", "late", "recent")
@@ -358,7 +360,7 @@ def registry_momentum(spark: SparkSession, folder: str) -> DataFrame:
 WITH r AS (SELECT lower('own' || p_partkey % 50 || '/' || replace(p_brand, '#', '-')) AS repo, p_name || '-' || p_partkey AS crate, p_size AS downloads FROM part WHERE p_partkey % 3 = 0)
 SELECT repo, arg_min(crate, (-downloads, crate)) AS crate, max(downloads)::BIGINT AS downloads, count(*) AS crates FROM r GROUP BY 1""")
 def registry_repositories(spark: SparkSession, folder: str) -> DataFrame:
-    return registry.repository_signals(_dump(spark, folder)["crates"])
+    return registry.repository_signals(_dump(spark, folder, "crates")["crates"])
 
 
 @query("registry_publishers", """
@@ -367,7 +369,7 @@ SELECT s::VARCHAR AS published_by, min(day) AS first_day, max(day) AS last_day,
 def registry_publishers(spark: SparkSession, folder: str) -> DataFrame:
     line = table(spark, folder, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string").alias("id"))
     clear = line.groupBy("id").agg(F.count("*").alias("k")).filter("k = 1").select("id")
-    return registry.publishers(_dump(spark, folder)["versions"].join(clear, "id", "left_semi"))
+    return registry.publishers(_dump(spark, folder, "versions")["versions"].join(clear, "id", "left_semi"))
 
 
 # --- recordings and scans ---------------------------------------------------------------------------------------------
